@@ -28,7 +28,7 @@ def _wide(v: Views) -> DataFrame:
 
 def _lacking(v: Views) -> DataFrame:
     """Online features with one column emptied for each of three lots."""
-    return v.online.withColumns({
+    return v.features.withColumns({
         "avg_free_spaces_rolling_24h": F.when(F.col(LOT) != 1, F.col("avg_free_spaces_rolling_24h")),
         "avg_free_spaces_std_24h": F.when(F.col(LOT) != 2, F.col("avg_free_spaces_std_24h")),
         "avg_free_spaces_diff_1h": F.when(F.col(LOT) != 3, F.col("avg_free_spaces_diff_1h")),
@@ -58,7 +58,7 @@ _PADDED = f"""
 
 
 def _samples(v: Views) -> DataFrame:
-    return supervised.supervised_windows(supervised.model_frame(v.online))
+    return supervised.supervised_windows(v.frame)
 
 
 def _sample_sums(v: Views) -> DataFrame:
@@ -77,14 +77,14 @@ _ROW_SUMS = (f"({' + '.join(f'{i} * {c}' for i, c in enumerate(MODEL_FEATURES, 1
 
 
 def _flat(v: Views) -> DataFrame:
-    windows = supervised.flatten_window(supervised.pad_window(supervised.model_frame(v.online)))
+    windows = supervised.flatten_window(supervised.pad_window(v.frame))
     return windows.select(LOT, "origin", F.posexplode("window").alias("position", "value"))
 
 
 def _scaled(v: Views) -> DataFrame:
     """Ranges fitted on all samples, applied to the newest window of each lot, long form."""
     stats = supervised.fit_minmax(_samples(v))
-    newest = supervised.flatten_window(supervised.pad_window(supervised.model_frame(v.online)))
+    newest = supervised.flatten_window(supervised.pad_window(v.frame))
     scaled = supervised.minmax_per_timestep(newest, stats).join(stats, LOT)
     return scaled.select(LOT, F.posexplode(F.arrays_zip("window", "low", "high")).alias("position", "z")).select(
         LOT, "position", F.col("z.window").alias("scaled"), F.col("z.low").alias("low"), F.col("z.high").alias("high"))

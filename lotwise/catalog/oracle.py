@@ -224,7 +224,12 @@ def complete(body: str) -> str:
 
 
 # A result shape names columns with a kind: i whole number, d number to six decimals, m number
-# to three decimals, t instant, s text, b truth value. Both engines are brought to it.
+# to three decimals, t instant, s text, b truth value. Both engines are brought to it. Before
+# rounding, a fixed amount below the last digit moves the rounding points away from short
+# binary fractions such as 1/128, where sums taken in another order would round differently.
+_SHIFT = {"d": (6, "0.00000037"), "m": (3, "0.00037")}
+
+
 def _kinds(shape: str) -> list[tuple[str, str]]:
     return [tuple(item.rsplit(":", 1)) for item in shape.split()]
 
@@ -232,18 +237,21 @@ def _kinds(shape: str) -> list[tuple[str, str]]:
 def shaped(df: DataFrame, shape: str) -> DataFrame:
     def cell(name: str, kind: str) -> Column:
         c = F.col(f"`{name}`")
-        return {"i": lambda: c.cast("long"), "d": lambda: F.round(c.cast("double"), 6),
-                "m": lambda: F.round(c.cast("double"), 3), "t": lambda: c.cast("timestamp"),
-                "s": lambda: c.cast("string"), "b": lambda: c.cast("boolean")}[kind]().alias(name)
+        if kind in _SHIFT:
+            digits, shift = _SHIFT[kind]
+            return F.round(c.cast("double") + float(shift), digits).alias(name)
+        return c.cast({"i": "long", "t": "timestamp", "s": "string", "b": "boolean"}[kind]).alias(name)
     return df.select(*[cell(n, k) for n, k in _kinds(shape)])
 
 
 def shaped_sql(body: str, shape: str) -> str:
     def cell(name: str, kind: str) -> str:
         q = f'"{name}"'
-        return {"i": f"cast({q} as bigint)", "d": f"round(cast({q} as double), 6) + 0.0::double",
-                "m": f"round(cast({q} as double), 3) + 0.0::double", "t": f"cast({q} as timestamp)",
-                "s": f"cast({q} as varchar)", "b": f"cast({q} as boolean)"}[kind] + f" as {q}"
+        if kind in _SHIFT:
+            digits, shift = _SHIFT[kind]
+            return f"round(cast({q} as double) + {shift}::double, {digits}) + 0.0::double as {q}"
+        kinds = {"i": "bigint", "t": "timestamp", "s": "varchar", "b": "boolean"}
+        return f"cast({q} as {kinds[kind]}) as {q}"
     sql = complete(body)
     cells = ", ".join(cell(n, k) for n, k in _kinds(shape))
     return f"select {cells} from (\n{sql}\n) shaped_result"

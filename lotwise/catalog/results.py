@@ -20,7 +20,7 @@ _WEATHER = _COLUMNS[1:]
 
 
 def samples(v: Views) -> DataFrame:
-    return stored(supervised.supervised_windows(supervised.model_frame(v.online)), "samples")
+    return stored(supervised.supervised_windows(v.frame), "samples")
 
 
 def _share(rows: DataFrame, split: str) -> DataFrame:
@@ -94,7 +94,7 @@ def _metric_sql(model: str) -> str:
     return f"""
         select parking_lot_id, '{model}' model_name, count(*) n_samples, avg(({model} - actual) ** 2) mse,
                sqrt(avg(({model} - actual) ** 2)) rmse, avg(abs({model} - actual)) mae,
-               1 - sum(({model} - actual) ** 2) / (sum(actual ** 2) - count(*) * avg(actual) ** 2) r2,
+               1 - sum(({model} - actual) ** 2) / nullif(sum(actual ** 2) - count(*) * avg(actual) ** 2, 0) r2,
                avg(case when actual <> 0 then abs({model} - actual) / abs(actual) * 100 end) mape
         from with_actual group by parking_lot_id"""
 

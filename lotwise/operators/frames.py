@@ -86,20 +86,22 @@ def carried(df: DataFrame, ts: str, columns: list[str], keys: tuple[str, ...] =
     summary = cut.groupBy(*keys, "_cut").agg(
         *[F.max_by(c, seen[c]).alias(f"_last_{c}") for c in columns],
         *[F.min_by(c, seen[c]).alias(f"_first_{c}") for c in columns])
-    slots = Window.partitionBy(*keys).orderBy("_cut")
-    earlier = slots.rowsBetween(Window.unboundedPreceding, -1)
-    later = slots.rowsBetween(1, Window.unboundedFollowing)
+    # Looking ahead runs as looking back in descending order: a frame that only grows is
+    # kept up row by row, while one that shrinks would be recomputed for every row.
+    slots = Window.partitionBy(*keys)
+    earlier = slots.orderBy(F.col("_cut")).rowsBetween(Window.unboundedPreceding, -1)
+    later = slots.orderBy(F.col("_cut").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
         *keys, "_cut",
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_in_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns])
-    rows = Window.partitionBy(*keys, "_cut").orderBy(ts)
-    back = rows.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = rows.rowsBetween(0, Window.unboundedFollowing)
+        *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_out_{c}") for c in columns])
+    rows = Window.partitionBy(*keys, "_cut")
+    back = rows.orderBy(F.col(ts)).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = rows.orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
     near = cut.select(
         "*",
         *[F.last(c, ignorenulls=True).over(back).alias(f"_b_{c}") for c in columns],
-        *[F.first(c, ignorenulls=True).over(ahead).alias(f"_a_{c}") for c in columns])
+        *[F.last(c, ignorenulls=True).over(ahead).alias(f"_a_{c}") for c in columns])
     joined = near.join(summary, [*keys, "_cut"])
     return joined.select(
         *df.columns,

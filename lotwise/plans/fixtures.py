@@ -14,7 +14,9 @@ from lotwise.operators.categories import categories_online, categories_training
 from lotwise.operators.features import online_features, temperature_diff_1h
 from lotwise.operators.joins import training_join, weather_left_join
 from lotwise.operators.rollups import calendar_fields
+from lotwise.operators.supervised import model_frame
 from lotwise.schemas import BLEND_WEIGHTS, LOT
+from lotwise.session import stored
 
 AS_OF = "2024-01-15 12:05:00"
 
@@ -107,6 +109,15 @@ class Views:
         features = online_features(calendar_fields(self.hourly))
         return temperature_diff_1h(categories_online(weather_left_join(features, self.weather)), self.weather)
 
+    @cached_property
+    def features(self) -> DataFrame:
+        """The online rows as a stored table, the form that the model inputs are built from."""
+        return stored(self.online, "features")
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        return stored(model_frame(self.features), "frame")
+
     @cached_property
     def pair(self) -> DataFrame:
         """Two forecasts per lot and day: the last value, and the value of a day before the target."""
