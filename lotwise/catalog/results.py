@@ -29,7 +29,8 @@ def _share(rows: DataFrame, split: str) -> DataFrame:
 
 def _scaled(v: Views) -> DataFrame:
     rows = samples(v)
-    return supervised.minmax_per_timestep(rows, supervised.fit_minmax(_share(rows, "train")))
+    ranges = supervised.fit_minmax(_share(rows, "train"))
+    return stored(supervised.minmax_per_timestep(rows, ranges), "scaled")
 
 
 def _linear(v: Views) -> DataFrame:
@@ -51,7 +52,7 @@ def _tree_quality(v: Views, fit) -> DataFrame:
 
 
 def _predict(v: Views) -> DataFrame:
-    rows = stored(_scaled(v), "scaled")
+    rows = _scaled(v)
     return models.predict_long(models.fit_linear(_share(rows, "train")), rows.where("split <> 'train'"))
 
 

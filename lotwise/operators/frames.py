@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from lotwise.functions.clock import DAY, HOUR, seconds_floor
+from lotwise.functions.clock import DAY, seconds_floor
 from lotwise.schemas import LOT
 
 Build = Callable[[WindowSpec], dict[str, Column]]
@@ -109,5 +109,11 @@ def carried(df: DataFrame, ts: str, columns: list[str], keys: tuple[str, ...] =
         *[F.coalesce(f"_a_{c}", f"_out_{c}").alias(f"_ahead_{c}") for c in columns])
 
 
-def hours(n: int) -> int:
-    return n * HOUR
+def spread_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions small rows that are about to be expanded.
+
+    Adaptive execution sizes partitions by what enters them and would put such rows into
+    few tasks; an explicit count keeps the session's full shuffle parallelism.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)

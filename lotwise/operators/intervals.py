@@ -8,9 +8,10 @@ per lot and day; the net changes of earlier days enter as the day's opening valu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise.functions.clock import DAY, MINUTE, ceil_minute, seconds_floor
+from lotwise.operators.frames import spread_out
 from lotwise.schemas import LOT
 
 MINUTES_PER_DAY = DAY // MINUTE
@@ -23,16 +24,17 @@ def _days(ops: DataFrame) -> DataFrame:
     return span.select(LOT, F.explode(F.sequence(first, last)).alias("day"), last.alias("last_day"))
 
 
-def _ticks(days: DataFrame) -> DataFrame:
-    """The minutes of each day; the closing day contributes its midnight only."""
+def _minutes() -> Column:
+    """The ticks of a day; the closing day contributes its midnight only."""
     start = F.col("day") * MINUTES_PER_DAY
     end = F.when(F.col("day") == F.col("last_day"), start).otherwise(start + MINUTES_PER_DAY - 1)
-    return days.withColumn("tick", F.explode(F.sequence(start, end)))
+    return F.sequence(start, end)
 
 
 def minute_calendar(ops: DataFrame) -> DataFrame:
     """Every minute per lot between the calendar's bounds, both ends included."""
-    return _ticks(_days(ops)).select(LOT, F.timestamp_seconds(F.col("tick") * MINUTE).alias("minute_timestamp"))
+    ticks = spread_out(_days(ops), LOT, "day").select(LOT, F.explode(_minutes()).alias("tick"))
+    return ticks.select(LOT, F.timestamp_seconds(F.col("tick") * MINUTE).alias("minute_timestamp"))
 
 
 def _changes(ops: DataFrame) -> DataFrame:
@@ -46,26 +48,32 @@ def _changes(ops: DataFrame) -> DataFrame:
             .withColumn("day", F.floor(F.col("tick") / MINUTES_PER_DAY).cast("long")))
 
 
+def _opened_days(ops: DataFrame, changes: DataFrame) -> DataFrame:
+    """Calendar days with the spaces still occupied from earlier days; one small row per day."""
+    net = (_days(ops).withColumn("change", F.lit(0).cast("long"))
+           .unionByName(changes.groupBy(LOT, "day").agg(F.sum("change").alias("change")),
+                        allowMissingColumns=True)
+           .groupBy(LOT, "day").agg(F.sum("change").alias("change"), F.max("last_day").alias("last_day")))
+    past = Window.partitionBy(LOT).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    return net.select(LOT, "day", "last_day", F.coalesce(F.sum("change").over(past), F.lit(0)).alias("change"))
+
+
 def minute_occupancy(ops: DataFrame) -> DataFrame:
     """Occupied spaces per lot and minute; a minute without stays counts 0.
 
-    Expects stays with ``arrival``/``departure`` timestamps and arrival < departure.
+    Expects stays with ``arrival``/``departure`` timestamps and arrival < departure. Days and
+    changes are shuffled by (lot, day) before a day is expanded into its minutes, so the
+    minute rows themselves are never shuffled: merging per tick and the running sum both
+    use that partitioning.
     """
     changes = _changes(ops)
-    days = _days(ops)
-    net = (days.select(LOT, "day", "last_day", F.lit(0).cast("long").alias("change"))
-           .unionByName(changes.groupBy(LOT, "day").agg(F.sum("change").alias("change"))
-                        .withColumn("last_day", F.lit(None).cast("long")))
-           .groupBy(LOT, "day").agg(F.sum("change").alias("change"), F.max("last_day").alias("last_day")))
-    past = Window.partitionBy(LOT).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    opened = net.select(LOT, "day", "last_day",
-                        F.coalesce(F.sum("change").over(past), F.lit(0)).alias("opening"))
-    midnight = F.col("tick") == F.col("day") * MINUTES_PER_DAY
-    frame = _ticks(opened).select(LOT, "day", "tick",
-                                  F.when(midnight, F.col("opening")).otherwise(0).alias("change"))
-    # One exchange by (lot, day) serves both the merge per tick and the running sum.
-    merged = (frame.unionByName(changes.select(LOT, "day", "tick", "change"))
-              .repartition(LOT, "day")
+    days = _opened_days(ops, changes)
+    rows = spread_out(days.unionByName(changes, allowMissingColumns=True), LOT, "day")
+    # A day row opens the day at midnight and stands for every minute of it.
+    opening = F.when(F.col("tick").isNull(), F.transform(_minutes(), lambda m: F.struct(
+        m.alias("tick"), F.when(m == F.col("day") * MINUTES_PER_DAY, F.col("change")).otherwise(0).alias("change"))))
+    change = F.array(F.struct(F.col("tick"), F.col("change")))
+    merged = (rows.select(LOT, "day", F.inline(F.coalesce(opening, change)))
               .groupBy(LOT, "day", "tick").agg(F.sum("change").alias("change")))
     running = Window.partitionBy(LOT, "day").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
     return merged.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 32
+BUCKETS = 64
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:

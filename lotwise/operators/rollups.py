@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.functions.clock import HOUR, calendar, hour_floor, instant, plus_hours, seconds_floor
 from lotwise.functions.values import mean_of_integers
+from lotwise.operators.frames import spread_out
 from lotwise.schemas import LOT
 
 AsOf = str | datetime | Column
@@ -79,7 +80,7 @@ def hour_series_complete(hourly: DataFrame) -> DataFrame:
     slot = seconds_floor("hour_timestamp", HOUR)
     span = hourly.groupBy(LOT).agg(F.min(slot).alias("a"), F.max(slot).alias("b"))
     days = span.select(LOT, "a", "b", F.explode(F.sequence(F.floor(F.col("a") / 24), F.floor(F.col("b") / 24))).alias("d"))
-    hours = days.select(LOT, F.explode(F.sequence(
+    hours = spread_out(days, LOT, "d").select(LOT, F.explode(F.sequence(
         F.greatest(F.col("a"), F.col("d") * 24), F.least(F.col("b"), F.col("d") * 24 + 23))).alias("h"))
     calendar_rows = hours.select(LOT, F.timestamp_seconds(F.col("h") * HOUR).alias("hour_timestamp"))
     return (hourly.withColumn("hour_timestamp", hour_floor("hour_timestamp"))

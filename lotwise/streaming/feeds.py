@@ -24,6 +24,7 @@ from lotwise.operators.models import TreeForecaster, predict_long
 from lotwise.operators.rollups import calendar_fields
 from lotwise.operators.supervised import flatten_window, minmax_per_timestep, model_frame, pad_window, recent_window
 from lotwise.schemas import HOURLY, LANDED_SNAPSHOT, LOT
+from lotwise.session import stored
 from lotwise.sources.snapshots import minute_rows, occupancy_rate, occupancy_snapshot_parse
 from lotwise.sources.tables import upsert_latest
 
@@ -120,18 +121,44 @@ def score_latest(features: DataFrame, stats: DataFrame, model_a: DataFrame | Tre
                  model_name: str, made_at: Column | None = None) -> DataFrame:
     """Forecast rows of every lot from its latest hours: two models, blended and limited."""
     frame = model_frame(recent_window(features))
-    windows = minmax_per_timestep(flatten_window(pad_window(frame)), stats)
+    windows = stored(minmax_per_timestep(flatten_window(pad_window(frame)), stats), "windows")
     blended = blend_predictions(predict_long(model_a, windows), predict_long(model_b, windows), alpha)
     made = plus_hours(F.col("origin"), 1) + F.expr("interval 10 minutes") if made_at is None else made_at
     return prediction_rows(constrain_predictions(blended, lots, "hybrid"), made, model_name)
 
 
+def recent_features(spark: SparkSession, path: str, schema: StructType, lots: DataFrame, newest: str,
+                    n: int = 72, days: int = 30) -> DataFrame:
+    """The last ``n`` stored hours of each of ``lots``, reading recent day folders first.
+
+    Lots that have fewer rows in those days are looked up in the whole log, so a lot that
+    was silent for long still gets its last hours.
+    """
+    hour = "hour_timestamp"
+    first = F.date_format(F.lit(newest).cast("date") - F.expr(f"interval {days} days"), "yyyy-MM-dd")
+    start = lots.select(first.alias("d")).first()
+    if start is None:
+        return spark.createDataFrame([], schema)
+    near = recent_window(read_log(spark, path, schema, [LOT, hour], (start["d"], newest))
+                         .join(lots, LOT, "left_semi"), n)
+    known = near.groupBy(LOT).agg(F.count("*").alias("_n"))
+    short = lots.join(known, LOT, "left").where(F.coalesce("_n", F.lit(0)) < n).select(LOT)
+    if short.isEmpty():
+        return near
+    far = recent_window(read_log(spark, path, schema, [LOT, hour]).where(F.col(hour) < F.lit(start["d"]).cast("timestamp"))
+                        .join(short, LOT, "left_semi"), n)
+    return recent_window(near.unionByName(far), n)
+
+
 def stream_scoring(features_path: str, features_schema: StructType, predictions_path: str, **parts) -> Sink:
     """Scores the lots of each batch from the stored features and logs the forecasts."""
     def score(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.date_format(F.max("hour_timestamp"), "yyyy-MM-dd").alias("d")).first()["d"]
+        if newest is None:
+            return
         lots = batch.select(LOT).distinct()
-        features = read_log(batch.sparkSession, features_path, features_schema, [LOT, "hour_timestamp"])
-        rows = score_latest(features.join(lots, LOT, "left_semi"), **parts)
+        features = recent_features(batch.sparkSession, features_path, features_schema, lots, newest)
+        rows = score_latest(stored(features, "recent"), **parts)
         batch_log(predictions_path, "prediction_made_at")(rows, batch_id)
     return score
 
