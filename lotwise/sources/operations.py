@@ -18,6 +18,7 @@ def operations_csv_scan(spark: SparkSession, path: str) -> DataFrame:
     rows = (spark.read.schema(text)
             .option("sep", ";").option("header", True).option("enforceSchema", True)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
+            .option("columnPruning", False)  # a pruned line would not show that it is short
             .csv(path))
     complete = F.col("_malformed").isNull() | (F.size(F.split("_malformed", ";")) >= len(names))
     return rows.where(complete).select(*[
