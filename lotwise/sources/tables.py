@@ -64,9 +64,11 @@ def _stored_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return target.select(*keys).join(batch.select(*keys), keys, "left_semi")
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Stored rows win over the batch, then the first row of the batch in ``order``."""
     first = _first_per_key(batch, keys, [F.col(c).asc() for c in order])
+    if target is None:
+        return first
     return target.unionByName(first.join(_stored_keys(target, batch, keys), keys, "left_anti"))
 
 
