@@ -27,14 +27,14 @@ def _share(rows: DataFrame, split: str) -> DataFrame:
     return rows.where(F.col("split") == split)
 
 
-def _scaled(v: Views) -> DataFrame:
+def scaled_samples(v: Views) -> DataFrame:
     rows = samples(v)
     ranges = supervised.fit_minmax(_share(rows, "train"))
     return stored(supervised.minmax_per_timestep(rows, ranges), "scaled")
 
 
 def _linear(v: Views) -> DataFrame:
-    return models.fit_linear(_share(_scaled(v), "train")).withColumn("n_coefficients", F.size("coefficients"))
+    return models.fit_linear(_share(scaled_samples(v), "train")).withColumn("n_coefficients", F.size("coefficients"))
 
 
 def _judged(predictions: DataFrame, rows: DataFrame) -> DataFrame:
@@ -45,14 +45,14 @@ def _judged(predictions: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _tree_quality(v: Views, fit) -> DataFrame:
-    rows = _scaled(v)
+    rows = scaled_samples(v)
     model = fit(_share(rows, "train"))
     rest = rows.where("split <> 'train'")
     return blending.regression_metrics(_judged(models.predict_long(model, rest), rest), [LOT, "split", "horizon"])
 
 
 def _predict(v: Views) -> DataFrame:
-    rows = _scaled(v)
+    rows = scaled_samples(v)
     return models.predict_long(models.fit_linear(_share(rows, "train")), rows.where("split <> 'train'"))
 
 

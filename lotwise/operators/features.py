@@ -113,6 +113,15 @@ def rolling_trend(df: DataFrame, value: str = "avg_free_spaces") -> DataFrame:
     return over_rows(df, TS, build, before=167)
 
 
+ENGINEERED = ["avg_free_spaces_rolling_24h", "avg_free_spaces_std_24h", "avg_free_spaces_diff_1h",
+              "temperature_diff_1h"]
+
+
+def _with_month(df: DataFrame) -> DataFrame:
+    std = ENGINEERED[1]
+    return df.withColumns({std: F.coalesce(std, F.lit(0.0)), "month": F.month(TS)})
+
+
 def feature_fallbacks(df: DataFrame) -> DataFrame:
     """Replaces features that a lot lacks entirely by row-based ones; adds ``month``.
 
@@ -120,25 +129,40 @@ def feature_fallbacks(df: DataFrame) -> DataFrame:
     comes from one small aggregate per lot, not from a window over the lot.
     """
     value = "avg_free_spaces"
-    columns = [f"{value}_rolling_24h", f"{value}_std_24h", f"{value}_diff_1h", "temperature_diff_1h"]
-    known = df.groupBy(LOT).agg(*[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in columns])
+    known = df.groupBy(LOT).agg(*[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in ENGINEERED])
 
     def build(w: WindowSpec) -> dict[str, Column]:
+        def step(c: str) -> Column:
+            return F.coalesce(F.col(c) - F.lag(c).over(w), F.lit(0.0))
         last = _rows_back(w, 24)
-        return {f"_alt_{columns[0]}": F.avg(value).over(last),
-                f"_alt_{columns[1]}": F.stddev_samp(value).over(last),
-                f"_alt_{columns[2]}": F.coalesce(F.col(value) - F.lag(value).over(w), F.lit(0.0)),
-                f"_alt_{columns[3]}": F.coalesce(
-                    F.col("temperature_2m") - F.lag("temperature_2m").over(w), F.lit(0.0))}
+        substitutes = [F.avg(value).over(last), F.stddev_samp(value).over(last), step(value), step("temperature_2m")]
+        return {f"_alt_{c}": x for c, x in zip(ENGINEERED, substitutes)}
     rows = over_rows(df, TS, build, before=23).join(known, LOT)
-    filled = {c: F.when(F.col(f"_has_{c}"), F.col(c)).otherwise(F.col(f"_alt_{c}")) for c in columns}
-    filled[columns[1]] = F.coalesce(filled[columns[1]], F.lit(0.0))
-    return (rows.withColumns(filled).withColumn("month", F.month(TS))
-            .select(*df.columns, *([] if "month" in df.columns else ["month"])))
+    filled = {c: F.when(F.col(f"_has_{c}"), F.col(c)).otherwise(F.col(f"_alt_{c}")) for c in ENGINEERED}
+    return _with_month(rows.withColumns(filled)).select(
+        *df.columns, *([] if "month" in df.columns else ["month"]))
+
+
+def without_gaps(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``feature_fallbacks`` and ``fill_gaps`` on a stored table, as far as its rows need them.
+
+    One aggregate tells which lots lack a feature and which columns hold a NULL at all; the
+    windows then run for those columns only.
+    """
+    per_lot = df.groupBy(LOT).agg(
+        *[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in ENGINEERED],
+        *[F.count_if(F.col(c).isNull()).alias(f"_gaps_{c}") for c in columns])
+    state = per_lot.agg(*[F.min(f"_has_{c}").alias(f"_has_{c}") for c in ENGINEERED],
+                        *[F.sum(f"_gaps_{c}").alias(f"_gaps_{c}") for c in columns]).first()
+    complete = all(state[f"_has_{c}"] for c in ENGINEERED)
+    rows = _with_month(df) if complete else feature_fallbacks(df)
+    return fill_gaps(rows, [c for c in columns if state[f"_gaps_{c}"]])
 
 
 def fill_gaps(df: DataFrame, columns: list[str]) -> DataFrame:
     """Last known value, else the next known one, else 0, along each lot's history."""
+    if not columns:
+        return df
     near = carried(df, TS, columns)
     filled = {c: F.coalesce(f"_back_{c}", f"_ahead_{c}", F.lit(0).cast(df.schema[c].dataType)) for c in columns}
     return near.withColumns(filled).select(*df.columns)

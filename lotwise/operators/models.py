@@ -107,7 +107,7 @@ def _fit_trees(samples: DataFrame, estimator, horizons: int, lots: list[int] | N
 
 
 def fit_random_forest(samples: DataFrame, horizons: int = HORIZON_HOURS, lots: list[int] | None = None,
-                      trees: int = 100, depth: int = 8, seed: int = 42, parallelism: int = 4) -> TreeForecaster:
+                      trees: int = 100, depth: int = 8, seed: int = 42, parallelism: int = 8) -> TreeForecaster:
     """One forest per horizon. ``lots`` names lots that get forests of their own.
 
     Without ``lots`` the number of fits does not grow with the number of lots.
@@ -118,7 +118,7 @@ def fit_random_forest(samples: DataFrame, horizons: int = HORIZON_HOURS, lots: l
 
 def fit_gradient_boosting(samples: DataFrame, horizons: int = HORIZON_HOURS, lots: list[int] | None = None,
                           rounds: int = 50, depth: int = 4, step: float = 0.1, seed: int = 42,
-                          parallelism: int = 4) -> TreeForecaster:
+                          parallelism: int = 8) -> TreeForecaster:
     """One boosted ensemble per horizon, with the same choice of pooled or named lots."""
     return _fit_trees(samples, lambda: GBTRegressor(
         maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed), horizons, lots, parallelism)

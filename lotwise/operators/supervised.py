@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lotwise.functions.clock import instant, plus_hours
 from lotwise.operators.categories import categories_to_model
-from lotwise.operators.features import feature_fallbacks, fill_gaps
+from lotwise.operators.features import without_gaps
 from lotwise.operators.frames import over_rows
 from lotwise.schemas import (HORIZON_HOURS, HYBRID_FEATURES, LOT, MODEL_FEATURES, MODEL_VOCABULARY,
                              PAST_HOURS)
@@ -50,10 +50,9 @@ def ordinal_encode(df: DataFrame, mapping: dict[str, list[str]] | None = None) -
 
 
 def model_frame(features: DataFrame) -> DataFrame:
-    """Online features as the 20 numeric model inputs, without gaps."""
+    """A stored table of online features as the 20 numeric model inputs, without gaps."""
     numeric = [c for c in MODEL_FEATURES if c not in MODEL_VOCABULARY and c != "month"]
-    filled = fill_gaps(feature_fallbacks(features), numeric)
-    coded = ordinal_encode(categories_to_model(filled))
+    coded = ordinal_encode(categories_to_model(without_gaps(features, numeric)))
     return coded.select(LOT, TS, *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
 
 

@@ -40,7 +40,7 @@ def train_hybrid(features: DataFrame, fit_a: Fit, fit_b: Fit) -> Hybrid:
 
     Samples, predictions and models are stored between the jobs that read them.
     """
-    rows = stored(supervised_windows(stored(model_frame(features), "frame")), "samples")
+    rows = stored(supervised_windows(stored(model_frame(stored(features, "features")), "frame")), "samples")
     stats = stored(fit_minmax(rows.where("split = 'train'")), "ranges")
     scaled = stored(minmax_per_timestep(rows, stats), "scaled")
     train, rest = scaled.where("split = 'train'"), scaled.where("split <> 'train'")

@@ -120,7 +120,7 @@ def score_latest(features: DataFrame, stats: DataFrame, model_a: DataFrame | Tre
                  model_b: DataFrame | TreeForecaster, alpha: DataFrame, lots: DataFrame,
                  model_name: str, made_at: Column | None = None) -> DataFrame:
     """Forecast rows of every lot from its latest hours: two models, blended and limited."""
-    frame = model_frame(recent_window(features))
+    frame = model_frame(stored(recent_window(features), "recent"))
     windows = stored(minmax_per_timestep(flatten_window(pad_window(frame)), stats), "windows")
     blended = blend_predictions(predict_long(model_a, windows), predict_long(model_b, windows), alpha)
     made = plus_hours(F.col("origin"), 1) + F.expr("interval 10 minutes") if made_at is None else made_at
@@ -158,7 +158,7 @@ def stream_scoring(features_path: str, features_schema: StructType, predictions_
             return
         lots = batch.select(LOT).distinct()
         features = recent_features(batch.sparkSession, features_path, features_schema, lots, newest)
-        rows = score_latest(stored(features, "recent"), **parts)
+        rows = score_latest(features, **parts)
         batch_log(predictions_path, "prediction_made_at")(rows, batch_id)
     return score
 
