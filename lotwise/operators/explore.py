@@ -33,10 +33,12 @@ def hour_pattern(df: DataFrame) -> DataFrame:
 
 
 def hour_iqr(df: DataFrame) -> DataFrame:
-    """Mean and quartiles by hour of day."""
-    means = df.groupBy("hour_of_day").agg(F.avg(VALUE).alias("mean_free_spaces"))
-    quartiles = exact_quantiles(df, ["hour_of_day"], VALUE, {"q25": 0.25, "q75": 0.75})
-    return means.join(quartiles, "hour_of_day", "left")
+    """Mean and quartiles by hour of day, both from the counted values."""
+    keys = ["hour_of_day"]
+    counts = ranked(value_counts(df.dropna(subset=keys), keys, VALUE), keys)
+    mean = F.sum(F.col("_value") * F.col("_count")) / F.sum("_count")
+    return counts.groupBy(*keys).agg(mean.alias("mean_free_spaces"),
+                                     *quantile_columns({"q25": 0.25, "q75": 0.75}))
 
 
 def hour_stats(df: DataFrame) -> DataFrame:
@@ -207,12 +209,12 @@ def box_stats(df: DataFrame, value: str = VALUE) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), c.alias("category")) for d, c in groupings.items()])
     keys = ["dimension", "category"]
     long = labelled.select(F.col(value).cast("double").alias("_v"), F.inline(pairs)).dropna(subset=keys)
-    counts = ranked(value_counts(long, keys, "_v"), keys)
-    boxes = counts.groupBy(*keys).agg(F.sum("_count").alias("n_rows"), *quantile_columns(QUARTILES))
+    counts = value_counts(long, keys, "_v")
+    boxes = ranked(counts, keys).groupBy(*keys).agg(F.sum("_count").alias("n_rows"), *quantile_columns(QUARTILES))
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     low, high = F.col("q25") - reach, F.col("q75") + reach
     inside = (F.col("_value") >= low) & (F.col("_value") <= high)
-    judged = counts.select(*keys, "_value", "_count").join(boxes, keys)
+    judged = counts.join(boxes, keys)
     return judged.groupBy(*keys, "n_rows", *QUARTILES).agg(
         F.min(F.when(inside, F.col("_value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("_value"))).alias("whisker_high"),

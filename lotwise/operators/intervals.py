@@ -69,11 +69,11 @@ def minute_occupancy(ops: DataFrame) -> DataFrame:
     changes = _changes(ops)
     days = _opened_days(ops, changes)
     rows = spread_out(days.unionByName(changes, allowMissingColumns=True), LOT, "day")
-    # A day row opens the day at midnight and stands for every minute of it.
-    opening = F.when(F.col("tick").isNull(), F.transform(_minutes(), lambda m: F.struct(
-        m.alias("tick"), F.when(m == F.col("day") * MINUTES_PER_DAY, F.col("change")).otherwise(0).alias("change"))))
-    change = F.array(F.struct(F.col("tick"), F.col("change")))
-    merged = (rows.select(LOT, "day", F.inline(F.coalesce(opening, change)))
+    # A day row stands for every minute of its day and opens it at midnight.
+    minute = F.explode(F.when(F.col("tick").isNull(), _minutes()).otherwise(F.array("tick"))).alias("minute")
+    opens = F.col("tick").isNotNull() | (F.col("minute") == F.col("day") * MINUTES_PER_DAY)
+    merged = (rows.select(LOT, "day", "tick", "change", minute)
+              .select(LOT, "day", F.col("minute").alias("tick"), F.when(opens, F.col("change")).otherwise(0).alias("change"))
               .groupBy(LOT, "day", "tick").agg(F.sum("change").alias("change")))
     running = Window.partitionBy(LOT, "day").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
     return merged.select(

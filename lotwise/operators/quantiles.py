@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 64
+BLOCK = 8
+BUCKETS = BLOCK * BLOCK
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -22,11 +23,17 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``_before`` (rows of the group below a value) and ``_total`` (rows of the group)."""
     splits = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("_value", splits, 2000).alias("_cuts"))
-    bucketed = (counts.join(cuts, keys)
-                .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("_value"))))
-                .drop("_cuts"))
+    cuts = counts.groupBy(*keys).agg(F.percentile_approx("_value", splits, 2000).alias("_cuts"))
+    coarse = F.array(*[F.col("_cuts")[i] for i in range(BLOCK - 1, BUCKETS - 1, BLOCK)])
+
+    def below_value(cut_points: Column) -> Column:
+        return F.size(F.filter(cut_points, lambda c: c < F.col("_value")))
+    # First the block of cuts, then the place inside it: 14 comparisons instead of 63.
+    bucketed = (counts.join(cuts.withColumn("_coarse", coarse), keys)
+                .withColumn("_block", below_value(F.col("_coarse")))
+                .withColumn("_bucket", F.col("_block") * BLOCK + below_value(
+                    F.slice("_cuts", F.col("_block") * BLOCK + 1, BLOCK - 1)))
+                .drop("_cuts", "_coarse", "_block"))
     group = Window.partitionBy(*keys)
     below = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (bucketed.groupBy(*keys, "_bucket").agg(F.sum("_count").alias("_n"))
