@@ -33,10 +33,20 @@ def scaled_samples(v: Views) -> DataFrame:
     return stored(supervised.minmax_per_timestep(rows, ranges), "scaled")
 
 
-def _linear(v: Views) -> DataFrame:
+def _linear_windows(v: Views) -> DataFrame:
     return models.fit_linear(_share(scaled_samples(v), "train")).withColumn("n_coefficients", F.size("coefficients"))
 
 
+def _simple_samples(v: Views) -> DataFrame:
+    """Samples with one input, the current hour's value, whose regression SQL can check."""
+    return stored(supervised.supervised_windows(v.frame, past=1, features=["avg_free_spaces"]), "samples")
+
+
+def _linear(v: Views) -> DataFrame:
+    fitted = models.fit_linear(_share(_simple_samples(v), "train"))
+    return fitted.withColumn("slope", F.element_at("coefficients", 1))
+
+
 def _judged(predictions: DataFrame, rows: DataFrame) -> DataFrame:
     """Predictions next to the targets of their samples."""
     targets = rows.select(LOT, "origin", "split", F.posexplode("targets").alias("_i", "actual")).withColumn(
@@ -52,10 +62,19 @@ def _tree_quality(v: Views, fit) -> DataFrame:
 
 
 def _predict(v: Views) -> DataFrame:
-    rows = scaled_samples(v)
+    rows = _simple_samples(v)
     return models.predict_long(models.fit_linear(_share(rows, "train")), rows.where("split <> 'train'"))
 
 
+_LINES = """
+    with steps as materialized (select parking_lot_id, hour_timestamp, avg_free_spaces x,
+                          row_number() over (partition by parking_lot_id order by hour_timestamp) r,
+                          count(*) over (partition by parking_lot_id) - 24 m from model_frame),
+         lines as materialized (select a.parking_lot_id, b.r - a.r horizon, regr_slope(b.x, a.x) slope, regr_intercept(b.x, a.x) intercept
+                   from steps a join steps b on b.parking_lot_id = a.parking_lot_id and b.r between a.r + 1 and a.r + 24
+                   where a.r - 1 < floor(a.m * 0.7) group by all)"""
+
+
 def _constrained(v: Views) -> DataFrame:
     blend = blending.blend_predictions(v.one("model_a"), v.one("model_b"), v.alpha)
     out = blend.select(LOT, "origin", "horizon", "prediction")
@@ -145,14 +164,18 @@ def _group_sql(*keys: str) -> str:
 _MEANS = "mean_free_spaces:d std_free_spaces:d mean_temperature:d mean_precipitation:d"
 
 ENTRIES = {
-    "fit_linear": Entry("parking_lot_id:i horizon:i intercept:d n_coefficients:i", _linear),
+    "fit_linear": Entry("parking_lot_id:i horizon:i intercept:d slope:d", _linear, _LINES + " select * from lines"),
+    "fit_linear_windows": Entry("parking_lot_id:i horizon:i intercept:d n_coefficients:i", _linear_windows),
     "fit_random_forest": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
         lambda v: _tree_quality(v, lambda s: models.fit_random_forest(s, trees=8, depth=5))),
     "fit_gradient_boosting": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
         lambda v: _tree_quality(v, lambda s: models.fit_gradient_boosting(s, rounds=4, depth=3))),
-    "predict_long": Entry("parking_lot_id:i origin:t horizon:i prediction:d", _predict),
+    "predict_long": Entry(
+        "parking_lot_id:i origin:t horizon:i prediction:d", _predict,
+        _LINES + """ select parking_lot_id, hour_timestamp origin, horizon, intercept + slope * x prediction
+                     from steps join lines using (parking_lot_id) where r <= m and r - 1 >= floor(m * 0.7)"""),
     "blend_predictions": Entry(
         "parking_lot_id:i origin:t horizon:i prediction:d",
         lambda v: blending.blend_predictions(v.one("model_a"), v.one("model_b"), v.alpha), "select * from blended"),

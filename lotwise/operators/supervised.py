@@ -88,9 +88,10 @@ def supervised_windows(frame: DataFrame, past: int = PAST_HOURS, horizon: int =
         "targets": F.collect_list("_y").over(w.rowsBetween(1, horizon))},
         before=past - 1, after=horizon, keep_row=True)
     totals = rows.groupBy(LOT).agg((F.count("*") - past - horizon + 1).alias("_samples"))
-    place = F.col("_row") - past
-    split = (F.when(place < F.floor(F.col("_samples") * train), "train")
-             .when(place < F.floor(F.col("_samples") * (train + validation)), "validation")
+    # Shares in whole thousandths, so that the borders do not depend on binary fractions.
+    place = (F.col("_row") - past) * 1000
+    split = (F.when(place < F.col("_samples") * round(train * 1000) - 999, "train")
+             .when(place < F.col("_samples") * round((train + validation) * 1000) - 999, "validation")
              .otherwise("test"))
     full = (F.size("window") == past * len(features)) & (F.size("targets") == horizon)
     return (sampled.where(full).join(totals, LOT)
