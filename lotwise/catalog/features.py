@@ -11,6 +11,7 @@ from lotwise.plans.fixtures import Views
 from lotwise.schemas import (AVAILABILITY, AVAILABILITY_OTHERWISE, HYBRID_FEATURES, LAG_ROWS, LOT, MODEL_FEATURES,
                              MODEL_VOCABULARY, MOVING_AVERAGE_ROWS, ONLINE_CATEGORIES, TRAINING_CATEGORIES, TREND_ROWS,
                              WEATHER_CODES)
+from lotwise.session import stored
 
 _HOUR = "parking_lot_id:i hour_timestamp:t"
 _LABELS = "day_type:s time_period:s temperature_category:s precipitation_category:s"
@@ -83,7 +84,7 @@ def _flat(v: Views) -> DataFrame:
 
 def _scaled(v: Views) -> DataFrame:
     """Ranges fitted on all samples, applied to the newest window of each lot, long form."""
-    stats = supervised.fit_minmax(_samples(v))
+    stats = stored(supervised.fit_minmax(_samples(v)), "ranges")
     newest = supervised.flatten_window(supervised.pad_window(v.frame))
     scaled = supervised.minmax_per_timestep(newest, stats).join(stats, LOT)
     return scaled.select(LOT, F.posexplode(F.arrays_zip("window", "low", "high")).alias("position", "z")).select(

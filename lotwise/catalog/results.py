@@ -29,7 +29,7 @@ def _share(rows: DataFrame, split: str) -> DataFrame:
 
 def scaled_samples(v: Views) -> DataFrame:
     rows = samples(v)
-    ranges = supervised.fit_minmax(_share(rows, "train"))
+    ranges = stored(supervised.fit_minmax(_share(rows, "train")), "ranges")
     return stored(supervised.minmax_per_timestep(rows, ranges), "scaled")
 
 

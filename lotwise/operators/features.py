@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from lotwise.functions.clock import DAY, HOUR
-from lotwise.operators.frames import carried, over_rows, over_time
+from lotwise.operators.frames import carried, join_per_lot, over_rows, over_time
 from lotwise.schemas import LAG_ROWS, LOT, MOVING_AVERAGE_ROWS, TREND_ROWS
 
 TS = "hour_timestamp"
@@ -137,7 +137,7 @@ def feature_fallbacks(df: DataFrame) -> DataFrame:
         last = _rows_back(w, 24)
         substitutes = [F.avg(value).over(last), F.stddev_samp(value).over(last), step(value), step("temperature_2m")]
         return {f"_alt_{c}": x for c, x in zip(ENGINEERED, substitutes)}
-    rows = over_rows(df, TS, build, before=23).join(known, LOT)
+    rows = join_per_lot(over_rows(df, TS, build, before=23), known, TS)
     filled = {c: F.when(F.col(f"_has_{c}"), F.col(c)).otherwise(F.col(f"_alt_{c}")) for c in ENGINEERED}
     return _with_month(rows.withColumns(filled)).select(
         *df.columns, *([] if "month" in df.columns else ["month"]))

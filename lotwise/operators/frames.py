@@ -48,8 +48,8 @@ def over_time(df: DataFrame, ts: str, build: Build, before: int = 0, after: int
 
 
 def numbered(df: DataFrame, ts: str, keys: tuple[str, ...] = (LOT,), name: str = "_row",
-             slot: int = SLOT_SECONDS) -> DataFrame:
-    """Adds the 1-based position of each row in its lot's history.
+             slot: int = SLOT_SECONDS, total: str | None = None) -> DataFrame:
+    """Adds the 1-based position of each row in its lot's history, and the lot's row count as ``total``.
 
     Rows are numbered inside time slots; the row counts of the earlier slots, one small
     row per slot, give the offset.
@@ -57,18 +57,20 @@ def numbered(df: DataFrame, ts: str, keys: tuple[str, ...] = (LOT,), name: str =
     keys = list(keys)
     cut = df.withColumn("_cut", seconds_floor(ts, slot))
     past = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    totals = [F.sum("_n").over(Window.partitionBy(*keys)).alias(total)] if total else []
     offsets = (cut.groupBy(*keys, "_cut").agg(F.count("*").alias("_n"))
-               .select(*keys, "_cut", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_offset")))
+               .select(*keys, "_cut", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_offset"), *totals))
     inside = F.row_number().over(Window.partitionBy(*keys, "_cut").orderBy(ts))
     return (cut.withColumn("_inside", inside).join(offsets, [*keys, "_cut"])
             .withColumn(name, F.col("_inside") + F.col("_offset"))
-            .select(*df.columns, name))
+            .select(*df.columns, name, *([total] if total else [])))
 
 
 def over_rows(df: DataFrame, ts: str, build: Build, before: int = 0, after: int = 0,
-              keys: tuple[str, ...] = (LOT,), slot: int = SLOT_ROWS, keep_row: bool = False) -> DataFrame:
+              keys: tuple[str, ...] = (LOT,), slot: int = SLOT_ROWS, keep_row: bool = False,
+              total: str | None = None) -> DataFrame:
     """Window columns whose frames reach at most ``before``/``after`` rows."""
-    spread = _spread(numbered(df, ts, keys), F.col("_row"), slot, before, after)
+    spread = _spread(numbered(df, ts, keys, total=total), F.col("_row"), slot, before, after)
     result = _apply(spread, list(keys), [F.col("_row")], build)
     return result if keep_row else result.drop("_row")
 
@@ -109,11 +111,26 @@ def carried(df: DataFrame, ts: str, columns: list[str], keys: tuple[str, ...] =
         *[F.coalesce(f"_a_{c}", f"_out_{c}").alias(f"_ahead_{c}") for c in columns])
 
 
+def join_per_lot(rows: DataFrame, per_lot: DataFrame, ts: str, broadcast_rows: int = 0) -> DataFrame:
+    """Left join of one row per lot to a large table, never shuffling by lot alone.
+
+    Up to ``broadcast_rows`` counted rows the small side is broadcast. Otherwise it is
+    repeated per slot in which a lot has rows, and the join runs on (lot, slot).
+    """
+    if broadcast_rows and per_lot.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return rows.join(F.broadcast(per_lot), LOT, "left")
+    slot = seconds_floor(ts, SLOT_SECONDS)
+    slots = rows.select(F.col(LOT).alias("_lot"), slot.alias("_cut")).distinct()
+    repeated = per_lot.join(slots, F.col(LOT) == F.col("_lot")).drop("_lot")
+    return rows.withColumn("_cut", slot).join(repeated, [LOT, "_cut"], "left").drop("_cut")
+
+
 def spread_out(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partitions small rows that are about to be expanded.
+    """Hash-partitions rows whose work is larger than their size.
 
-    Adaptive execution sizes partitions by what enters them and would put such rows into
-    few tasks; an explicit count keeps the session's full shuffle parallelism.
+    Adaptive execution sizes partitions by the bytes that enter them and would put rows
+    that are about to be expanded or computed on into few tasks; an explicit count keeps
+    the session's full shuffle parallelism.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)

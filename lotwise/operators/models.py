@@ -20,11 +20,12 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.functions.clock import DAY, seconds_floor
+from lotwise.operators.frames import spread_out
 from lotwise.schemas import HORIZON_HOURS, LOT
 from lotwise.session import stored
 
 LINEAR_MODEL = f"{LOT} int, horizon int, intercept double, coefficients array<double>"
-_FIT_SLOT = 2 * 365 * DAY     # samples of one lot and slot are summed in one task
+_FIT_SLOT = 180 * DAY         # samples of one lot and slot are summed in one task
 _SCORE_SLOT = 30 * DAY        # windows of one lot and slot are scored together
 
 
@@ -69,8 +70,8 @@ def _solve(rows: pd.DataFrame) -> pd.DataFrame:
 
 def fit_linear(samples: DataFrame) -> DataFrame:
     """Multi-output least squares per lot: one row per (lot, horizon) with its coefficients."""
-    placed = (samples.select(LOT, seconds_floor("origin", _FIT_SLOT).alias("_slot"), "window", "targets")
-              .repartition(LOT, "_slot").sortWithinPartitions(LOT))
+    keyed = samples.select(LOT, seconds_floor("origin", _FIT_SLOT).alias("_slot"), "window", "targets")
+    placed = spread_out(keyed, LOT, "_slot").sortWithinPartitions(LOT)
     parts = placed.drop("_slot").mapInPandas(
         _cross_products, f"{LOT} int, r int, products array<double>")
     summed = (parts.select(LOT, "r", array_to_vector("products").alias("_v"))

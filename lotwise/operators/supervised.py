@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lotwise.functions.clock import instant, plus_hours
 from lotwise.operators.categories import categories_to_model
 from lotwise.operators.features import without_gaps
-from lotwise.operators.frames import over_rows
+from lotwise.operators.frames import join_per_lot, over_rows
 from lotwise.schemas import (HORIZON_HOURS, HYBRID_FEATURES, LOT, MODEL_FEATURES, MODEL_VOCABULARY,
                              PAST_HOURS)
 
@@ -86,15 +86,15 @@ def supervised_windows(frame: DataFrame, past: int = PAST_HOURS, horizon: int =
     sampled = over_rows(rows, TS, lambda w: {
         "window": F.flatten(F.collect_list("_x").over(w.rowsBetween(-(past - 1), 0))),
         "targets": F.collect_list("_y").over(w.rowsBetween(1, horizon))},
-        before=past - 1, after=horizon, keep_row=True)
-    totals = rows.groupBy(LOT).agg((F.count("*") - past - horizon + 1).alias("_samples"))
+        before=past - 1, after=horizon, keep_row=True, total="_rows")
+    samples = F.col("_rows") - (past + horizon - 1)
     # Shares in whole thousandths, so that the borders do not depend on binary fractions.
     place = (F.col("_row") - past) * 1000
-    split = (F.when(place < F.col("_samples") * round(train * 1000) - 999, "train")
-             .when(place < F.col("_samples") * round((train + validation) * 1000) - 999, "validation")
+    split = (F.when(place < samples * round(train * 1000) - 999, "train")
+             .when(place < samples * round((train + validation) * 1000) - 999, "validation")
              .otherwise("test"))
     full = (F.size("window") == past * len(features)) & (F.size("targets") == horizon)
-    return (sampled.where(full).join(totals, LOT)
+    return (sampled.where(full)
             .select(LOT, F.col(TS).alias("origin"), split.alias("split"), "window", "targets"))
 
 
@@ -106,15 +106,21 @@ def fit_minmax(windows: DataFrame) -> DataFrame:
             .select(LOT, vector_to_array("_s.min").alias("low"), vector_to_array("_s.max").alias("high")))
 
 
+STATS_BROADCAST_LOTS = 2000   # about 30 MB of ranges
+
+
 def minmax_per_timestep(windows: DataFrame, stats: DataFrame) -> DataFrame:
     """Scales each position with its own range; a constant position becomes 0.
 
-    A lot without fitted ranges passes through unscaled.
+    Positions without a fitted range pass through unscaled. ``stats`` is best a stored table,
+    since its lots are counted before the join.
     """
-    def scale(x: Column, span: Column) -> Column:
-        width = span["high"] - span["low"]
-        return F.when(width != 0, (x - span["low"]) / width).otherwise(F.lit(0.0))
-    spans = F.arrays_zip("low", "high")
-    scaled = F.when(F.col("low").isNull(), F.col("window")).otherwise(
-        F.zip_with("window", spans, lambda x, s: F.when(s.isNull(), x).otherwise(scale(x, s))))
-    return windows.join(stats, LOT, "left").withColumn("window", scaled).drop("low", "high")
+    factor = F.zip_with("high", "low", lambda h, lo: F.when(h != lo, 1 / (h - lo)).otherwise(F.lit(0.0)))
+    ranges = stats.select(LOT, "low", factor.alias("_factor"))
+    known = F.size("low")
+    moved = F.zip_with(F.slice("window", 1, known), "low", lambda x, lo: x - lo)
+    scaled = F.concat(F.zip_with(moved, "_factor", lambda d, f: d * f),
+                      F.slice("window", known + 1, F.greatest(F.size("window") - known, F.lit(0))))
+    joined = join_per_lot(windows, ranges, "origin", STATS_BROADCAST_LOTS)
+    return joined.withColumn("window", F.when(F.col("low").isNull(), F.col("window")).otherwise(scaled)) \
+        .select(*windows.columns)

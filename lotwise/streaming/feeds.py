@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lotwise.functions.clock import plus_hours
+from lotwise.functions.clock import HOUR, plus_hours, seconds_floor
 from lotwise.functions.values import mean_of_integers
 from lotwise.operators.blending import blend_predictions, constrain_predictions, prediction_rows
 from lotwise.operators.categories import categories_online
@@ -80,7 +80,14 @@ def read_log(spark: SparkSession, path: str, schema: StructType, keys: list[str]
 
 
 def drain(stream: DataFrame, sink: Sink | None, checkpoint: str, path: str | None = None) -> StreamingQuery:
-    """Processes what has landed so far and stops; a restart goes on from the checkpoint."""
+    """Processes what has landed so far and stops; a restart goes on from the checkpoint.
+
+    Open windows are kept in RocksDB unless the session names another state store, so the
+    number of lots is not bound by executor heap.
+    """
+    conf, provider = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if not conf.get(provider, "") or conf.get(provider).endswith("HDFSBackedStateStoreProvider"):
+        conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
     query = writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", path).start()
     query.awaitTermination()
@@ -109,8 +116,9 @@ def stream_feature_refresh(weather: DataFrame, hourly_path: str, features_path:
             return
         batch_log(hourly_path, hour)(batch.select(HOURLY.fieldNames()), batch_id)
         hourly = read_log(spark, hourly_path, HOURLY, [LOT, hour], (span["a"], span["b"]))
-        affected = batch.select(LOT, F.explode(F.sequence(
-            hour, plus_hours(F.col(hour), 23), F.expr("interval 1 hour"))).alias(hour)).distinct()
+        changed = seconds_floor(hour, HOUR)
+        affected = (batch.select(LOT, F.explode(F.sequence(changed, changed + 23)).alias("_h")).distinct()
+                    .select(LOT, F.timestamp_seconds(F.col("_h") * HOUR).alias(hour)))
         features = training_features(hourly, weather).join(affected, [LOT, hour], "left_semi")
         batch_log(features_path, hour)(features, batch_id)
     return refresh

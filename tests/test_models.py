@@ -62,12 +62,15 @@ def test_trees_learn(spark, fit, lots):
     assert len(quality) == 2 and all(r.n_samples == 80 and r.r2 > 0.3 for r in quality)
 
 
-def test_minmax_and_constant_position(spark):
-    df = spark.createDataFrame([(1, [0.0, 5.0, 3.0]), (1, [10.0, 5.0, 1.0]), (2, [7.0, 7.0, 7.0])],
-                               "parking_lot_id int, window array<double>")
-    stats = supervised.fit_minmax(df.where("parking_lot_id = 1"))
-    got = sorted(tuple(r.window) for r in supervised.minmax_per_timestep(df, stats).collect())
-    assert got == [(0.0, 0.0, 1.0), (1.0, 0.0, 0.0), (7.0, 7.0, 7.0)]
+def test_minmax_and_constant_position(spark, monkeypatch):
+    df = spark.createDataFrame([(lot, dt.datetime(2024, 1, 1), w) for lot, w in (
+        (1, [0.0, 5.0, 3.0]), (1, [10.0, 5.0, 1.0, 9.0]), (2, [7.0, 7.0, 7.0]))],
+        "parking_lot_id int, origin timestamp, window array<double>")
+    stats = supervised.fit_minmax(df.where("parking_lot_id = 1").withColumn("window", F.slice("window", 1, 3)))
+    for limit in (2000, 0):     # broadcast, and the join by lot and slot
+        monkeypatch.setattr(supervised, "STATS_BROADCAST_LOTS", limit)
+        got = sorted(tuple(r.window) for r in supervised.minmax_per_timestep(df, stats).collect())
+        assert got == [(0.0, 0.0, 1.0), (1.0, 0.0, 0.0, 9.0), (7.0, 7.0, 7.0)]
 
 
 def test_alpha_equals_brute_force(spark):
