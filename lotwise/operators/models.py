@@ -8,12 +8,14 @@ input, or one per named lot.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
@@ -24,6 +26,9 @@ from lotwise.operators.frames import spread_out
 from lotwise.schemas import HORIZON_HOURS, LOT
 from lotwise.session import stored
 
+# The task functions below travel by value, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINEAR_MODEL = f"{LOT} int, horizon int, intercept double, coefficients array<double>"
 _FIT_SLOT = 180 * DAY         # samples of one lot and slot are summed in one task
 _SCORE_SLOT = 30 * DAY        # windows of one lot and slot are scored together
