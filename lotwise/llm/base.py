@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotwise.session import scratch_path, stored
 
-__all__ = ["held_out", "read", "scratch_path", "stored"]
+__all__ = ["annotated", "held_out", "read", "scratch_path", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,3 +17,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """True where crc32 of the id's text leaves the remainder ``fold``; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(folds) == F.lit(fold)
+
+
+def annotated(docs: DataFrame, keep: list[str], compute, fields: str, text: str = "text") -> DataFrame:
+    """Columns ``keep`` of ``docs`` and new columns that ``compute`` makes of whole texts, in one scan.
+
+    ``compute`` gets an Arrow column of texts and returns one Arrow array per field. New columns take the
+    place of kept ones with the same name.
+    """
+    made = docs.sparkSession.createDataFrame([], fields).schema
+    new = [f.name for f in made]
+    keep = [k for k in keep if k not in new]
+    inner = docs.select(F.col(f"`{text}`").cast("string").alias("_text"),
+                        *(F.col(f"`{k}`").alias(f"_{i}") for i, k in enumerate(k for k in keep if k != text)))
+    others = [k for k in keep if k != text]
+    passed = (["_text"] if text in keep else []) + [f"_{i}" for i in range(len(others))]
+    kinds = {f.name: f.dataType.simpleString() for f in inner.schema}
+    schema = ", ".join([f"{c} {kinds[c]}" for c in passed] +
+                       [f"_new{i} {f.dataType.simpleString()}" for i, f in enumerate(made)])
+    names = passed + [f"_new{i}" for i in range(len(new))]
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c in passed] + compute(batch.column("_text")), names)
+
+    out = inner.mapInArrow(run, schema)
+    place = {k: f"_{i}" for i, k in enumerate(others)} | {text: "_text"}
+    return out.select(*(F.col(place[k]).alias(k) for k in keep), *(F.col(f"_new{i}").alias(n) for i, n in enumerate(new)))

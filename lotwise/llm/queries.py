@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotwise.llm.base import read
+from lotwise.llm import oracle
+from lotwise.llm.base import held_out, read
+from lotwise.llm.decontamination import contamination
+from lotwise.llm.mixing import mixture
+from lotwise.llm.neardup import near_duplicates
+from lotwise.llm.settings import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels
 from lotwise.llm.token_output import tokenized
+from lotwise.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def byte_bpe() -> str:
@@ -19,6 +26,40 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenized(read(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(read(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+
+
+def digest(items: Column) -> Column:
+    return F.sha2(F.concat_ws(",", items), 256)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest(F.col("hit_items")).alias("items_sha256"), "contaminated")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = fit_toxicity(docs, read(spark, sf_dir, "labels"), ~out)
+    return score_toxicity(docs, model, ["doc_id"]).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), size=4, threshold=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
+    "op2_mixing": op2_mixing,
+    "op4_decontamination": op4_decontamination,
+    "op9_toxicity": op9_toxicity,
+    "op10_near_duplicates": op10_near_duplicates,
+}
+
+#: Tokenizing, learning and searching for similar sets are not SQL; tests compare those with brute force.
+ORACLES: dict[str, str] = {
+    "op2_mixing": oracle.mixing(),
+    "op4_decontamination": oracle.DECONTAMINATION,
 }

@@ -138,6 +138,9 @@ def words_of(texts: Texts, flags: np.ndarray) -> Words:
 
 
 def total_by(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums over the ranges that ``bounds`` delimits; an empty range gives 0."""
-    sums = np.concatenate([np.zeros(1, values.dtype if values.dtype.kind == "f" else np.int64), np.cumsum(values)])
-    return sums[bounds[1:]] - sums[bounds[:-1]]
+    """Sums over the ranges that ``bounds`` delimits, each on its own; an empty range gives 0."""
+    out = np.zeros(len(bounds) - 1, values.dtype if values.dtype.kind == "f" else np.int64)
+    full = bounds[1:] > bounds[:-1]
+    if full.any():
+        out[full] = np.add.reduceat(values, bounds[:-1][full], dtype=out.dtype)
+    return out
