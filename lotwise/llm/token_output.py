@@ -26,7 +26,7 @@ from lotwise.llm.simple8b import decode, encode
 from lotwise.llm.words import worker_state
 
 SEGMENT_IDS = 1 << 18
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 350_000
 #: White space of Unicode, and letters that every version of Unicode counts as such.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -38,17 +38,34 @@ _CHUNK = (f" ?[{_LETTER}]+(?![^{_SPACE}.,:;!?])" f"|(?! )[{_SPACE}](?=[{_LETTER}
 _SEGMENT_TYPE = "part int, sequence int, part_start long, n_ids long, doc_ids array<long>, segment binary"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that the byte-level form has for each byte."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class _Known(dict):
-    """Ids of chunks as bytes; a missing chunk is encoded, unless the generation before knows it."""
+    """Ids of chunks as bytes; a missing chunk is encoded, unless the generation before knows it.
+
+    A chunk of letters is one piece for the pre-tokenizer, so it goes to the tokenizer's BPE model at once.
+    """
 
     def __init__(self, tokenizer, kind: str, before: dict[str, bytes]):
         super().__init__()
-        self._encode, self._kind, self._before = tokenizer.encode, kind, before
+        self._encode, self._merge, self._kind, self._before = tokenizer.encode, tokenizer.model.tokenize, kind, before
+        self._letters = _byte_letters()
+        self._plain = re.compile(f" ?[{_LETTER}]+").fullmatch
 
     def __missing__(self, chunk: str) -> bytes:
         coded = self._before.get(chunk)
         if coded is None:
-            coded = np.array(self._encode(chunk, add_special_tokens=False).ids, self._kind).tobytes()
+            if self._plain(chunk):
+                letters = chunk.encode().decode("latin-1").translate(self._letters)
+                ids = [token.id for token in self._merge(letters)]
+            else:
+                ids = self._encode(chunk, add_special_tokens=False).ids
+            coded = np.array(ids, self._kind).tobytes()
         self[chunk] = coded
         return coded
 
@@ -65,7 +82,7 @@ class ChunkEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._kind = "<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self._known = _Known(self._tokenizer, self._kind, {})
+        self._known: _Known = _Known(self._tokenizer, self._kind, {})
         self._capacity = capacity
         self._find = re.compile(_CHUNK).findall
 
