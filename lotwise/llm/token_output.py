@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,102 +25,164 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.base import scratch_path
 from lotwise.llm.simple8b import decode, encode
-from lotwise.llm.words import worker_state
+from lotwise.llm.words import Texts, texts_of, worker_state
 
 SEGMENT_IDS = 1 << 18
-CACHED_CHUNKS = 350_000
-#: White space of Unicode, and letters that every version of Unicode counts as such.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Places where the byte-level pre-tokenizer always ends a piece, so that pieces can be encoded on their own: before a
-#: white-space run; between a letter and closing punctuation; between a lone white-space character that is no blank
-#: and a letter. Everything else stays with its neighbours.
-_CHUNK = (f" ?[{_LETTER}]+(?![^{_SPACE}.,:;!?])" f"|(?! )[{_SPACE}](?=[{_LETTER}])"
-          f"|[{_SPACE}]*[^{_SPACE}]+" f"|[{_SPACE}]+")
+CACHED_PIECES = 350_000
+SLICE_BYTES = 1 << 22
 _SEGMENT_TYPE = "part int, sequence int, part_start long, n_ids long, doc_ids array<long>, segment binary"
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> str:
     """The letter that the byte-level form has for each byte."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+
+
+def _flags(values: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+_SPACE, _MARK = _flags(b"\t\n\v\f\r "), _flags(b".,:;!?")
+_ASCII_LETTER = _flags(bytes(range(65, 91)) + bytes(range(97, 123)))
+_LATIN_LEAD = _flags(b"\xc3\xc4\xc5")  # U+00C0 to U+017F: letters but for the signs of multiplication and division
+
+
+def _pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """(borders of pieces that can be encoded on their own, rows that cannot be cut this way).
+
+    Cut are: before a white-space run; between a letter and closing punctuation; between a lone white-space character
+    that is no blank and a letter. The byte-level pre-tokenizer ends a piece of its own at each of these places.
+    Rows with white space beyond ASCII are left in one piece.
+    """
+    data = texts.data
+    n = len(data)
+    back = lambda x, k: np.concatenate([np.zeros(min(k, n), x.dtype), x[:max(n - k, 0)]])
+    space, lead = _SPACE[data], _LATIN_LEAD[data]
+    sign = back(data == 0xC3, 1) & ((data == 0x97) | (data == 0xB7))  # second byte of a sign
+    letter_end = _ASCII_LETTER[data] | (back(lead, 1) & ~sign)
+    letter_start = _ASCII_LETTER[data] | (lead & ~np.append(sign[1:], False))
+    first = np.zeros(n + 1, bool)
+    first[texts.bounds] = True
+    first = first[:n]
+    space_before = back(space, 1) & ~first
+    alone = space & ~space_before & (data != 0x20)
+    cut = first | (space & ~space_before) | (_MARK[data] & back(letter_end, 1)) | (letter_start & back(alone, 1))
+    odd = ((data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3)) & np.append(data[1:] >= 0x80, False)
+    rows = np.zeros(0, np.int64)
+    if odd.any():
+        at = np.flatnonzero(odd)
+        second, third = data[np.minimum(at + 1, n - 1)], data[np.minimum(at + 2, n - 1)]
+        wide = (((data[at] == 0xC2) & ((second == 0x85) | (second == 0xA0)))
+                | ((data[at] == 0xE1) & (second == 0x9A) & (third == 0x80))
+                | ((data[at] == 0xE2) & (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF)))
+                | ((data[at] == 0xE2) & (second == 0x81) & (third == 0x9F)) | ((data[at] == 0xE3) & (second == 0x80) & (third == 0x80)))
+        rows = np.unique(np.searchsorted(texts.bounds, at[wide], "right") - 1)
+        for row in rows:
+            cut[texts.bounds[row] + 1:texts.bounds[row + 1]] = False
+    return np.append(np.flatnonzero(cut), n), rows
 
 
 class _Known(dict):
-    """Ids of chunks as bytes; a missing chunk is encoded, unless the generation before knows it.
+    """Ids of pieces as bytes; a missing piece is encoded, unless the generation before knows it.
 
-    A chunk of letters is one piece for the pre-tokenizer, so it goes to the tokenizer's BPE model at once.
+    A piece of letters is one piece for the pre-tokenizer too, so it goes to the tokenizer's BPE model at once.
     """
 
-    def __init__(self, tokenizer, kind: str, before: dict[str, bytes]):
+    def __init__(self, tokenizer, kind: str, before: dict[bytes, bytes]):
         super().__init__()
         self._encode, self._merge, self._kind, self._before = tokenizer.encode, tokenizer.model.tokenize, kind, before
         self._letters = _byte_letters()
-        self._plain = re.compile(f" ?[{_LETTER}]+").fullmatch
+        self._plain = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4\xc5].)+", re.DOTALL).fullmatch
 
-    def __missing__(self, chunk: str) -> bytes:
-        coded = self._before.get(chunk)
+    def __missing__(self, piece: bytes) -> bytes:
+        coded = self._before.get(piece)
         if coded is None:
-            if self._plain(chunk):
-                letters = chunk.encode().decode("latin-1").translate(self._letters)
-                ids = [token.id for token in self._merge(letters)]
+            if self._plain(piece):
+                ids = [token.id for token in self._merge(charmap_decode(piece, "strict", self._letters)[0])]
             else:
-                ids = self._encode(chunk, add_special_tokens=False).ids
-            coded = np.array(ids, self._kind).tobytes()
-        self[chunk] = coded
+                ids = self._encode(piece.decode(), add_special_tokens=False).ids
+            coded = array(self._kind, ids).tobytes()
+        if len(piece) <= 64:
+            self[piece] = coded
         return coded
 
 
-class ChunkEncoder:
-    """Encodes texts with a tokenizer whose pre-tokenizer is byte-level, each distinct chunk once.
+class PieceEncoder:
+    """Encodes texts with a tokenizer whose pre-tokenizer is byte-level, each distinct piece of a slice once.
 
-    Known chunks are kept in two generations of bounded size: what was not used during a whole
-    generation is forgotten. That changes the time only, never the ids.
+    Known pieces are kept in two generations of bounded size: what was not used during a whole generation is
+    forgotten. That changes the time only, never the ids.
     """
 
-    def __init__(self, path: str, capacity: int = CACHED_CHUNKS):
+    def __init__(self, path: str, capacity: int = CACHED_PIECES):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._kind = "<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self._known: _Known = _Known(self._tokenizer, self._kind, {})
+        self._kind = "H" if self._tokenizer.get_vocab_size() <= 1 << 16 else "I"  # of array and numpy alike
+        self._known = _Known(self._tokenizer, self._kind, {})
         self._capacity = capacity
-        self._find = re.compile(_CHUNK).findall
 
-    def __call__(self, text: str) -> np.ndarray:
+    def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """(borders of the rows among the ids, ids) of a slice."""
         if len(self._known) > self._capacity:
             self._known._before = {}
             self._known = _Known(self._tokenizer, self._kind, self._known)
-        return np.frombuffer(b"".join(map(self._known.__getitem__, self._find(text))), self._kind)
+        if not len(texts.data):
+            return np.zeros(texts.rows + 1, np.int64), np.zeros(0, self._kind)
+        borders, _ = _pieces(texts)
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(borders) - 1,
+                                                  [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(texts.data)])
+        coded = pieces.dictionary_encode()
+        which = coded.indices.to_numpy()
+        distinct = list(map(self._known.__getitem__, coded.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // np.dtype(self._kind).itemsize
+        flat = np.frombuffer(b"".join(distinct), self._kind)
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[which]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(starts[which] - (ends - each), each) + np.arange(ends[-1])]
+        return np.concatenate([[0], ends])[np.searchsorted(borders, texts.bounds)], ids
 
 
 def _encode_part(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(f"encoder {path}", lambda: ChunkEncoder(path))
+        encoder = worker_state(f"encoder {path}", lambda: PieceEncoder(path))
         part, sequence, before = TaskContext.get().partitionId(), 0, 0
-        docs: list[int | None] = []
+        docs: list[pa.Array] = []
+        lengths: list[np.ndarray] = []
         held: list[np.ndarray] = []
-        size, end = 0, np.array([end_id], np.uint32)
+        size = 0
 
         def segment() -> pa.RecordBatch:
-            lengths = np.array([len(x) + 1 for x in held[::2]], np.uint64)
-            body = encode(lengths, np.concatenate(held))
+            body = encode(np.concatenate(lengths), np.concatenate(held))
+            ids = pa.concat_arrays(docs)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([sequence], pa.int32()), pa.array([before], pa.int64()),
-                 pa.array([size], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([body], pa.binary())],
-                ["part", "sequence", "part_start", "n_ids", "doc_ids", "segment"])
+                 pa.array([size], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 pa.array([body], pa.binary())], ["part", "sequence", "part_start", "n_ids", "doc_ids", "segment"])
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                coded = encoder(text.as_py() or "")
-                docs.append(doc)
-                held += [coded, end]
-                size += len(coded) + 1
-                if size >= SEGMENT_IDS:
-                    yield segment()
-                    sequence, before, size, docs, held = sequence + 1, before + size, 0, [], []
-        if held:
+            for texts in texts_of(batch.column("text"), SLICE_BYTES):
+                bounds, ids = encoder(texts)
+                ids = np.insert(ids, bounds[1:], end_id)
+                bounds = bounds + np.arange(len(bounds))
+                at = 0
+                while at < texts.rows:  # whole documents, up to about SEGMENT_IDS ids
+                    to = int(np.searchsorted(bounds, bounds[at] + SEGMENT_IDS - size))
+                    to = min(max(to, at + 1), texts.rows)
+                    docs.append(batch.column("doc_id").slice(texts.first + at, to - at))
+                    lengths.append(np.diff(bounds[at:to + 1]))
+                    held.append(ids[bounds[at]:bounds[to]].astype(np.uint32))
+                    size += int(bounds[to] - bounds[at])
+                    at = to
+                    if size >= SEGMENT_IDS:
+                        yield segment()
+                        sequence, before, size, docs, lengths, held = sequence + 1, before + size, 0, [], [], []
+        if docs:
             yield segment()
     return run
 
