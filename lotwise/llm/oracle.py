@@ -65,3 +65,25 @@ found as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
     sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc_words left join covered using (doc_id) left join found using (doc_id)"""
+
+
+LINE_DEDUP = r"""
+with rows as (select row_number() over () as r, doc_id, coalesce(text, '') as text, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+places as (select doc_id, text, unnest(range(1, len(lines) - 1)) as k, lines from rows where len(lines) >= 3),
+windows as (select distinct doc_id, text, k, lines[k] || chr(10) || lines[k + 1] || chr(10) || lines[k + 2] as w from places),
+later as (select doc_id, text, k from (select *, row_number() over (partition by w order by doc_id nulls first, text, k) as n from windows) where n > 1),
+gone as (select distinct doc_id, text, unnest([k, k + 1, k + 2]) as k from later),
+lines as (select r, doc_id, text, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as k from rows),
+kept as (select r, l.doc_id, count(*) as n_lines, count(g.k) as n_removed,
+    coalesce(string_agg(line, chr(10) order by l.k) filter (g.k is null), '') as kept
+    from lines l left join gone g on l.doc_id is not distinct from g.doc_id and l.text = g.text and l.k = g.k group by r, l.doc_id)
+select doc_id, n_lines, n_removed, length(kept)::bigint as kept_chars, md5(kept) as kept_md5 from kept"""
+
+
+TOP_K = """
+with whole as (select vec_id, [floor(64 * x::double)::bigint for x in embedding] as v from embeddings
+    where embedding is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+pairs as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+    from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20"""

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import oracle
-from lotwise.llm.base import held_out, read
+from lotwise.llm.base import held_out, read, scratch_path
+from lotwise.llm.chat import chat_digests, read_chats, write_chats
 from lotwise.llm.decontamination import contamination
+from lotwise.llm.lines import without_repeated_lines
 from lotwise.llm.mixing import mixture
 from lotwise.llm.neardup import near_duplicates
 from lotwise.llm.settings import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels
 from lotwise.llm.token_output import tokenized
+from lotwise.llm.topk import taking_part, top_k
 from lotwise.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -30,6 +33,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(read(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    folder = scratch_path(spark, "chats")
+    write_chats(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra), folder)
+    return chat_digests(read_chats(spark, folder))
+
+
 def digest(items: Column) -> Column:
     return F.sha2(F.concat_ws(",", items), 256)
 
@@ -39,6 +50,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest(F.col("hit_items")).alias("items_sha256"), "contaminated")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeated_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = taking_part(read(spark, sf_dir, "embeddings"), "embedding")
+    whole = vectors.select("vec_id", F.transform("vector", lambda x: F.floor(x * 64).cast("double")).alias("vector"))
+    return top_k(whole, whole.where("vec_id % 20 = 0"), 20)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 3, 1)
@@ -53,7 +75,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
+    "op3_chat_format": op3_chat_format,
     "op4_decontamination": op4_decontamination,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_top_k": op7_top_k,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
@@ -62,4 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_mixing": oracle.mixing(),
     "op4_decontamination": oracle.DECONTAMINATION,
+    "op6_line_dedup": oracle.LINE_DEDUP,
+    "op7_top_k": oracle.TOP_K,
 }
