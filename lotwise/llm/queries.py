@@ -14,6 +14,7 @@ from lotwise.llm.decontamination import contamination
 from lotwise.llm.lines import without_repeated_lines
 from lotwise.llm.mixing import mixture
 from lotwise.llm.neardup import near_duplicates
+from lotwise.llm.repeats import without_repeats
 from lotwise.llm.settings import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels
 from lotwise.llm.token_output import tokenized
 from lotwise.llm.topk import taking_part, top_k
@@ -50,6 +51,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest(F.col("hit_items")).alias("items_sha256"), "contaminated")
 
 
+def op5_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(read(spark, sf_dir, "documents"), 400)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = without_repeated_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5"))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_chat_format": op3_chat_format,
     "op4_decontamination": op4_decontamination,
+    "op5_repeated_strings": op5_repeated_strings,
     "op6_line_dedup": op6_line_dedup,
     "op7_top_k": op7_top_k,
     "op9_toxicity": op9_toxicity,
