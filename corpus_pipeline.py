@@ -32,7 +32,7 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     groups = near_duplicates(docs, size=5, threshold=80)
     dropped = groups.where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti").select(*docs.columns)
+    return docs.join(dropped.hint("merge"), F.col("doc_id") == F.col("_dropped"), "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

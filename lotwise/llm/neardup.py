@@ -135,10 +135,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Pairs whose full sets overlap by ``threshold`` percent of their union; texts are fetched for these pairs only."""
+    """Pairs whose full sets overlap by ``threshold`` percent of their union; texts are fetched for these pairs only.
+
+    The list of documents grows with the corpus, so it is never broadcast."""
     pairs = stored(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    texts = stored(docs.join(nodes, "doc").select("doc", "text").distinct(), "pair-texts")
+    texts = stored(docs.join(nodes.hint("merge"), "doc").select("doc", "text").distinct(), "pair-texts")
     side = lambda x: texts.select(F.col("doc").alias(x), F.col("text").alias(f"t{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -241,7 +243,7 @@ def _across(buckets: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
     by = ["bucket", "of_rest", "of_all"]
     close = stored(groups.groupBy(*by).applyInPandas(involved, groups.schema), "close-members")
     nodes = close.select("doc").distinct()
-    whole = stored(texts.join(nodes, "doc").select("doc", "text").distinct(), "member-texts")
+    whole = stored(texts.join(nodes.hint("merge"), "doc").select("doc", "text").distinct(), "member-texts")
     links = close.join(whole, "doc").groupBy(*by).applyInPandas(confirmed, "a long, b long")
     return stored(links.distinct(), "cross-links")
 
