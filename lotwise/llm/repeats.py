@@ -148,10 +148,13 @@ def _spans(rows: DataFrame, first, last, length: int) -> DataFrame:
 
 
 def _pass(rows: DataFrame, group: str, value: str) -> DataFrame:
-    """Rows of groups with more than one row, and whether all of the group have one value."""
+    """Rows of groups with more than one row, and whether all of the group have one value.
+
+    The counts are written first: both sides of the join are then plain shuffles, and a hot group's rows can be split.
+    """
     counted = (rows.groupBy(group).agg(F.count("*").alias("n"), F.min(value).alias("x"), F.max(value).alias("y"))
                .where("n > 1").select(group, (F.col("x") == F.col("y")).alias("same")))
-    return rows.join(counted.hint("merge"), group)
+    return rows.join(stored(counted, "groups").hint("merge"), group)
 
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
