@@ -15,6 +15,7 @@ from lotwise.llm.lines import without_repeated_lines
 from lotwise.llm.mixing import mixture
 from lotwise.llm.neardup import near_duplicates
 from lotwise.llm.repeats import without_repeats
+from lotwise.llm.scoring import score_documents
 from lotwise.llm.settings import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels
 from lotwise.llm.token_output import tokenized
 from lotwise.llm.topk import taking_part, top_k
@@ -66,6 +67,10 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(whole, whole.where("vec_id % 20 = 0"), 20)
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = held_out(F.col("doc_id"), 3, 1)
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeated_strings": op5_repeated_strings,
     "op6_line_dedup": op6_line_dedup,
     "op7_top_k": op7_top_k,
+    "op8_language_model": op8_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
