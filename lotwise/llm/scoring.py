@@ -16,8 +16,6 @@ model keeps its first weights; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,25 +29,29 @@ from lotwise.llm.gru import FREQUENT, REST, Trainer, flat, initial, log_probabil
 from lotwise.llm.words import Hasher, Texts, spaced, texts_of, total_by, words_of
 
 ROUNDS, RATE = 2, 0.01
-BLOCK_TOKENS = 1_000_000       # of a block on average
+BLOCK_TOKENS = 2_500_000       # of a block on average
+LEARN_TOKENS = 4_000_000       # that are dealt to lanes together
 _SLICE = 6 << 20
 _HELD = 2_000_000              # distinct words that a task holds before it passes them on
 _PARTS = 64                    # pieces of the weights that are averaged on their own
 END = -1                       # in place of a hash
 
 
-@dataclass
 class Vocabulary:
-    """The frequent words: hashes in ascending order and their numbers."""
+    """Numbers of the frequent words, by their hashes; a table without collisions finds them."""
 
-    hashes: np.ndarray
-    numbers: np.ndarray
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.append(hashes, 0)          # the last one stands for no word
+        bits = 12
+        while len(np.unique(hashes.view(np.uint64) >> np.uint64(64 - bits))) < len(hashes):
+            bits += 1
+        self.shift = np.uint64(64 - bits)
+        self.table = np.full(1 << bits, len(hashes), np.int16)
+        self.table[hashes.view(np.uint64) >> self.shift] = np.arange(len(hashes))
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), REST, np.int32)
-        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[place] == hashes, self.numbers[place], REST).astype(np.int32)
+        place = self.table[hashes.view(np.uint64) >> self.shift]
+        return np.where((self.hashes[place] == hashes) & (place < len(self.hashes) - 1), place, REST).astype(np.int32)
 
 
 def _tokens(texts: Texts, tables) -> tuple[np.ndarray, np.ndarray]:
@@ -101,11 +103,16 @@ def train(docs: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray
         def run(batches, start=start):
             words, first = start.value
             trainer = Trainer(first, RATE)
+            held, size = [], 0  # many documents at a time, so that long ones run side by side
             for batch in batches:
                 for texts in texts_of(batch.column("text"), _SLICE):
                     hashes, bounds = _tokens(texts, tables)
-                    numbers = words.number(hashes)
-                    trainer.learn([numbers[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+                    held += np.split(words.number(hashes), bounds[1:-1])
+                    size += len(hashes)
+                    if size >= LEARN_TOKENS:
+                        trainer.learn(held)
+                        held, size = [], 0
+            trainer.learn(held)
             if trainer.tokens:
                 parts = np.array_split(flat(trainer.w).astype(np.float64), _PARTS)
                 yield pa.RecordBatch.from_arrays(
@@ -122,12 +129,10 @@ def train(docs: DataFrame, vocabulary: Vocabulary, weights: dict[str, np.ndarray
     return weights
 
 
-def _distinct_pairs(blocks: list[np.ndarray], words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    block, word = np.concatenate(blocks), np.concatenate(words)
-    order = np.lexsort((word, block))
-    block, word = block[order], word[order]
-    new = np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1]))
-    return block[new], word[new]
+def _distinct_pairs(block: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    blocks = np.unique(block)
+    each = [np.unique(word[block == b]) for b in blocks] if len(blocks) > 1 else [np.unique(word)]
+    return np.repeat(blocks, [len(x) for x in each]), np.concatenate(each)
 
 
 def _distinct_words(batches):
@@ -138,15 +143,15 @@ def _distinct_words(batches):
         block = batch.column("block").to_numpy()
         for texts in texts_of(batch.column("text"), _SLICE):
             hashes, bounds = _tokens(texts, tables)
-            pairs = _distinct_pairs([np.repeat(block[texts.first:texts.first + texts.rows], np.diff(bounds))], [hashes])
+            pairs = _distinct_pairs(np.repeat(block[texts.first:texts.first + texts.rows], np.diff(bounds)), hashes)
             blocks.append(pairs[0])
             words.append(pairs[1])
             size += len(pairs[0])
             if size > _HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct_pairs(blocks, words)], ["block", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct_pairs(np.concatenate(blocks), np.concatenate(words))], ["block", "word"])
                 blocks, words, size = [], [], 0
     if blocks:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct_pairs(blocks, words)], ["block", "word"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct_pairs(np.concatenate(blocks), np.concatenate(words))], ["block", "word"])
 
 
 def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -157,9 +162,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     counts = stored(word_counts(learned), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).collect()
-    hashes = np.array([r.word for r in top], np.int64)
-    order = np.argsort(hashes)
-    vocabulary = Vocabulary(hashes[order], order.astype(np.int32))
+    vocabulary = Vocabulary(np.array([r.word for r in top], np.int64))
     frequent = np.array([r.n for r in top], float)
     weights = train(learned, vocabulary, initial(frequent, total))
     rest = float(total - frequent.sum() + distinct - len(top) + 1)
@@ -178,22 +181,22 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         numbers_of, trained = model.value
         order = np.argsort(words["word"].to_numpy())
         key, count = words["word"].to_numpy()[order], words["n"].to_numpy()[order].astype(float)
-        out = []
+        columns, held = [], []
         for texts in texts_of(pa.array(group["text"], pa.string()), _SLICE):
             tokens, bounds = _tokens(texts, tables)
             c = np.zeros(len(tokens))
             if len(key):
                 place = np.minimum(np.searchsorted(key, tokens), len(key) - 1)
                 c = np.where(key[place] == tokens, count[place], 0.0)
-            base = np.log10((c + 1) / (total + 1 * (distinct + 1)))
             numbers = numbers_of.number(tokens)
+            base = np.log10((c + 1) / (total + 1 * (distinct + 1)))
             other = np.where(numbers == REST, np.log10((c + 1) / rest), 0.0)
-            logs = log_probabilities(trained, [numbers[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-            ids = group["doc_id"].iloc[texts.first:texts.first + texts.rows]
-            out.append(pd.DataFrame({"doc_id": ids.astype("Int64").to_numpy(dtype=object, na_value=None), "n_tokens": np.diff(bounds),
-                                     "n_known": total_by(c > 0, bounds), "base_score": total_by(base, bounds),
-                                     "score": logs / np.log(10) + total_by(other, bounds)}))
-        return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            held += np.split(numbers, bounds[1:-1])
+            columns.append((np.diff(bounds), total_by(c > 0, bounds), total_by(base, bounds), total_by(other, bounds)))
+        n, known, base, other = (np.concatenate(x) for x in zip(*columns, strict=True)) if columns else [np.zeros(0)] * 4
+        ids = group["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None)
+        return pd.DataFrame({"doc_id": ids, "n_tokens": n, "n_known": known, "base_score": base,
+                             "score": log_probabilities(trained, held) / np.log(10) + other})
 
     scored = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(score, kinds)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
