@@ -29,9 +29,9 @@ from lotwise.llm.gru import FREQUENT, REST, Trainer, flat, initial, log_probabil
 from lotwise.llm.words import Hasher, Texts, spaced, texts_of, total_by, words_of
 
 ROUNDS, RATE = 2, 0.01
-BLOCK_TOKENS = 2_500_000       # of a block on average
-LEARN_TOKENS = 4_000_000       # that are dealt to lanes together
-_SLICE = 6 << 20
+BLOCK_TOKENS = 2_000_000       # of a block on average
+LEARN_TOKENS = 3_000_000       # that are dealt to lanes together
+_SLICE = 2 << 20
 _HELD = 2_000_000              # distinct words that a task holds before it passes them on
 _PARTS = 64                    # pieces of the weights that are averaged on their own
 END = -1                       # in place of a hash
