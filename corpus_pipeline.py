@@ -6,6 +6,8 @@ return the columns of documents.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +21,27 @@ from lotwise.llm.token_output import tokenized
 from lotwise.llm.toxicity import fit_toxicity, score_toxicity
 
 
+_CORE = ["doc_id", "text", "lang", "source"]
+
+
+def _whole_rows(stage):
+    """Carries all further columns of documents through a stage under names that none of its own can take."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: f"_kept_{k}" for k, c in enumerate(docs.columns) if c not in _CORE}
+        out = stage(spark, docs.withColumnsRenamed(names), sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in names.items()}).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return run_stage
+
+
+@_whole_rows
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, learned from the labels outside its hold-out fold, does not call toxic."""
     model = fit_toxicity(docs, read(spark, sf_dir, "labels"), ~held_out(F.col("doc_id"), 3, 1))
     return score_toxicity(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
 
 
+@_whole_rows
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of each group of near-duplicates (five words, 0.8) with the smallest id.
 
@@ -35,12 +52,14 @@ def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return docs.join(dropped.hint("merge"), F.col("doc_id") == F.col("_dropped"), "left_anti").select(*docs.columns)
 
 
+@_whole_rows
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     found = contamination(docs, read(spark, sf_dir, "benchmark"), docs.columns)
     return found.where("not contaminated").select(*docs.columns)
 
 
+@_whole_rows
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mixture, once per epoch."""
     return mixed_documents(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, max_epochs=2, seed=MIX_SEED)
