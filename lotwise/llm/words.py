@@ -78,14 +78,13 @@ def texts_of(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
         at = end
 
 
-def powers(n: int) -> tuple[np.ndarray, ...]:
-    """Powers of the two hash bases and of their inverses modulo 2**64, at least ``n`` of each."""
-    held = worker_state("powers", dict)
+def powers(n: int, second: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of one of the hash bases and of its inverse modulo 2**64, at least ``n`` of each."""
+    held = worker_state(f"powers {second}", dict)
     if held.get("n", 0) < n:
-        size = 1 << max(12, int(n).bit_length())
+        size, base = -(-n // (1 << 18)) << 18, _P2 if second else _P1
         held["n"], held["tables"] = size, tuple(
-            np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size - 1, p, _U)]))
-            for base in (_P1, _P2) for p in (base, pow(base, -1, 1 << 64)))
+            np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(size - 1, p, _U)])) for p in (base, pow(base, -1, 1 << 64)))
     return held["tables"]
 
 
@@ -100,8 +99,7 @@ class Hasher:
     """Hashes of any substrings of a buffer in constant time each, from prefix sums."""
 
     def __init__(self, data: np.ndarray, second: bool = False):
-        tables = powers(len(data) + 1)
-        forward, self._back = tables[2 * second], tables[2 * second + 1]
+        forward, self._back = powers(len(data) + 1, second)
         self._sums = np.zeros(len(data) + 1, _U)
         np.cumsum((data.astype(_U) + _U(1)) * forward[:len(data)], out=self._sums[1:])
 
