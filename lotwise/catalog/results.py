@@ -110,6 +110,13 @@ def _bundle(v: Views) -> DataFrame:
                                     serving.historical_window(v.online))
 
 
+def _unscored(v: Views) -> DataFrame:
+    """Lot 0 has no ranges, lot 1 no first model, lot 2 no weights."""
+    known = v.lots.select("parking_lot_id")
+    return blending.unscored_lots(v.lots, ranges=known.where("parking_lot_id <> 0"), first_model=known.where("parking_lot_id <> 1"),
+                                  weights=v.alpha.where("parking_lot_id <> 2"))
+
+
 def _metric_sql(model: str) -> str:
     return f"""
         select parking_lot_id, '{model}' model_name, count(*) n_samples, avg(({model} - actual) ** 2) mse,
@@ -337,8 +344,17 @@ ENTRIES = {
         "column_a:s column_b:s correlation:d", lambda v: explore.correlation_matrix(v.training),
         " union all ".join(f"select '{a}' column_a, '{b}' column_b, corr({a}, {b}) correlation from training"
                            for a in _COLUMNS for b in _COLUMNS)),
-    "pearson_test": Entry("column_name:s r:d p_value:d n_values:i significant:b",
-                          lambda v: explore.pearson_test(v.training)),
+    "pearson_test": Entry(
+        "column_name:s r:d t_value:d n_values:i", lambda v: explore.pearson_test(v.training),
+        " union all ".join(f"""
+        select '{c}' column_name, r, r * sqrt((n - 2) / (1 - r * r)) t_value, n n_values
+        from (select corr({c}, avg_free_spaces) r, count(*) n from training where {c} is not null and avg_free_spaces is not null)"""
+                           for c in explore.WEATHER)),
+    "unscored_lots": Entry(
+        "parking_lot_id:i reason:s", _unscored,
+        """select parking_lot_id, case when parking_lot_id = 0 then 'no ranges' when parking_lot_id = 1 then 'no first_model'
+                  else 'no weights' end reason
+           from parking_lots where parking_lot_id in (0, 1) or parking_lot_id not in (select parking_lot_id from alpha where parking_lot_id <> 2)"""),
     "weather_impact": Entry(
         "dimension:s category:s mean_free_spaces:d std_free_spaces:d n_rows:i",
         lambda v: explore.weather_impact(v.training),

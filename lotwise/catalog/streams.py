@@ -23,20 +23,17 @@ def _landed(v: Views) -> str:
     return path
 
 
-def _drained(v: Views, stream: DataFrame, ts: str, keys: list[str]) -> DataFrame:
-    out, checkpoint = scratch_path(v.spark, "stream-out"), scratch_path(v.spark, "stream-state")
-    feeds.drain(stream, feeds.batch_log(out, ts), checkpoint)
-    return feeds.read_log(v.spark, out, stream.schema, keys)
-
-
 def _minutes(v: Views) -> DataFrame:
-    minutes = feeds.stream_minute_feed(v.spark, _landed(v)).drop("window")
-    return _drained(v, minutes, "minute_timestamp", [LOT, "minute_timestamp"])
+    minutes, path = feeds.stream_minute_feed(v.spark, _landed(v)), scratch_path(v.spark, "minute-log")
+    feeds.drain(minutes, feeds.batch_log(path, "minute_timestamp"), scratch_path(v.spark, "stream-state"))
+    return feeds.minute_log(v.spark, path, minutes.schema)
 
 
 def _hours(v: Views) -> DataFrame:
-    hours = feeds.stream_hourly_rollup(feeds.stream_minute_feed(v.spark, _landed(v)))
-    return _drained(v, hours, "hour_timestamp", [LOT, "hour_timestamp"])
+    minutes, hourly = scratch_path(v.spark, "minute-log"), scratch_path(v.spark, "hourly-log")
+    stream = feeds.stream_minute_feed(v.spark, _landed(v), max_files=4)
+    feeds.drain(stream, feeds.stream_hourly_rollup(minutes, hourly), scratch_path(v.spark, "stream-state"))
+    return feeds.read_log(v.spark, hourly, HOURLY, [LOT, "hour_timestamp"])
 
 
 def _hourly_stream(v: Views, files: int) -> DataFrame:
@@ -79,23 +76,20 @@ def _scored(v: Views) -> DataFrame:
                           [LOT, "target_hour", "model_name", "prediction_made_at"])
 
 
-_CLOSED = "(select max(minute_timestamp) - interval 10 minute from occupancy_snapshots)"
-
 ENTRIES = {
     "stream_minute_feed": Entry(
         f"{_MINUTE} free_spaces:i occupied_spaces:i total_spaces:i occupancy_rate:d parking_lot_name:s invalid:b", _minutes,
-        f"""select parking_lot_id, date_trunc('minute', minute_timestamp)::timestamp minute_timestamp,
+        """select parking_lot_id, date_trunc('minute', minute_timestamp)::timestamp minute_timestamp,
                    case when general_total <> 0 then general_total - general_occupied end free_spaces,
                    general_occupied occupied_spaces, general_total total_spaces,
                    case when general_total > 0 then general_occupied * 100.0 / general_total end occupancy_rate,
                    'Lot ' || parking_lot_id parking_lot_name, invalid
             from occupancy_snapshots
-            where date_trunc('minute', minute_timestamp)::timestamp + interval 1 minute <= {_CLOSED}
             qualify row_number() over (partition by parking_lot_id, date_trunc('minute', minute_timestamp)
                                        order by minute_timestamp desc, event_id desc) = 1"""),
     "stream_hourly_rollup": Entry(
         f"{_HOUR} avg_free_spaces:d min_free_spaces:i max_free_spaces:i free_spaces_range:i", _hours,
-        f"""select parking_lot_id, date_trunc('hour', minute_timestamp)::timestamp hour_timestamp,
+        """select parking_lot_id, date_trunc('hour', minute_timestamp)::timestamp hour_timestamp,
                    (200 * sum(free) + count(*)) // (2 * count(*)) / 100.0 avg_free_spaces, min(free) min_free_spaces,
                    max(free) max_free_spaces, max(free) - min(free) free_spaces_range
             from (select parking_lot_id, minute_timestamp,
@@ -104,7 +98,6 @@ ENTRIES = {
                   qualify row_number() over (partition by parking_lot_id, date_trunc('minute', minute_timestamp)
                                              order by minute_timestamp desc, event_id desc) = 1)
             where free is not null
-                  and date_trunc('hour', minute_timestamp)::timestamp + interval 1 hour <= {_CLOSED}
             group by 1, 2"""),
     "stream_feature_refresh": Entry(
         f"{_HOUR} avg_free_spaces:d avg_free_spaces_rolling_24h:d avg_free_spaces_std_24h:d avg_free_spaces_diff_1h:d "

@@ -20,13 +20,25 @@ def blend_weights(spark: SparkSession, weights: dict[int, list[float]] | None =
 
 
 def blend_predictions(a: DataFrame, b: DataFrame, alpha: DataFrame) -> DataFrame:
-    """alpha * A + (1 - alpha) * B for every lot, origin and horizon that both forecast."""
+    """alpha * A + (1 - alpha) * B for every lot, origin and horizon that both forecast.
+
+    ``unscored_lots`` names the lots that are left out, and why.
+    """
     pair = a.select(*_KEY, F.col("prediction").alias("_a")).join(
         b.select(*_KEY, F.col("prediction").alias("_b")), _KEY)
     return (pair.join(alpha, [LOT, "horizon"])
             .select(*_KEY, (F.col("alpha") * F.col("_a") + (1 - F.col("alpha")) * F.col("_b")).alias("prediction")))
 
 
+def unscored_lots(lots: DataFrame, **parts: DataFrame) -> DataFrame:
+    """(lot, reason) of each of ``lots`` that one of the named frames does not hold; the first missing one is the reason."""
+    out, missing = lots.select(LOT).distinct(), []
+    for name, part in parts.items():
+        out = out.join(part.select(LOT).distinct().withColumn(f"_{name}", F.lit(True)), LOT, "left")
+        missing.append(F.when(F.col(f"_{name}").isNull(), F.lit(f"no {name}")))
+    return out.select(LOT, F.coalesce(*missing).alias("reason")).where("reason is not null")
+
+
 def fit_alpha(a: DataFrame, b: DataFrame, actual: DataFrame, step: float = 0.05) -> DataFrame:
     """The weight on a regular grid with the smallest squared error per lot and horizon.
 

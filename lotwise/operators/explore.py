@@ -7,8 +7,8 @@ buckets (``quantiles``) instead of gathering a group.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.operators.categories import weekday_labels
@@ -131,20 +131,44 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
 
 
 def pearson_test(df: DataFrame, columns: list[str] | None = None, level: float = 0.05) -> DataFrame:
-    """r and two-sided p of the free spaces against each column.
+    """r, t and two-sided p of the free spaces against each column, all from one aggregation.
 
-    In a regression on one column the slope's p value is that of the correlation.
+    Where r is undefined (a constant column, fewer than three pairs) r, t, p and the verdict are NULL.
     """
+    columns = columns or WEATHER
+    value = F.col(VALUE).cast("double")
+    sums = []
+    for c in columns:
+        x = F.when(value.isNotNull(), F.col(c).cast("double"))
+        y = F.when(F.col(c).isNotNull(), value)
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        sums += [F.count(x).alias(f"n_{c}"), varies.alias(f"varies_{c}"), F.covar_pop(x, y).alias(f"xy_{c}"),
+                 F.var_pop(x).alias(f"xx_{c}"), F.var_pop(y).alias(f"yy_{c}")]
+    one = df.agg(*sums).first()
     rows = []
-    for c in columns or WEATHER:
-        known = df.select(F.col(VALUE).cast("double").alias("label"), F.col(c).cast("double").alias("x")).dropna()
-        assembled = VectorAssembler(inputCols=["x"], outputCol="features").transform(known)
-        r = known.agg(F.corr("x", "label").alias("r"), F.count("*").alias("n")).first()
-        fitted = LinearRegression(solver="normal", regParam=0.0).fit(assembled)
-        p = float(fitted.summary.pValues[0])
-        rows.append((c, float(r["r"]), p, int(r["n"]), p < level))
+    for c in columns:
+        n, r, t, p = one[f"n_{c}"], None, None, None
+        if one[f"varies_{c}"] and n > 2:
+            r = max(-1.0, min(1.0, one[f"xy_{c}"] / math.sqrt(one[f"xx_{c}"] * one[f"yy_{c}"])))
+            t = math.copysign(math.inf, r) if abs(r) >= 1 else r * math.sqrt((n - 2) / (1 - r * r))
+            p = 0.0 if math.isinf(t) else _two_sided_p(t, n - 2)
+        rows.append((c, r, t, p, int(n), None if p is None else p < level))
     return df.sparkSession.createDataFrame(
-        rows, "column_name string, r double, p_value double, n_values long, significant boolean")
+        rows, "column_name string, r double, t_value double, p_value double, n_values long, significant boolean")
+
+
+def _two_sided_p(t: float, freedom: int) -> float:
+    """Student's two-sided p: Simpson's rule over the angle atan(t / sqrt(freedom)), where the density is cos^(freedom - 1)."""
+    top, parts = math.pi / 2, 4000
+
+    def area(a: float, b: float) -> float:
+        step = (b - a) / parts
+        height = [max(math.cos(a + k * step), 0.0) ** (freedom - 1) for k in range(parts + 1)]
+        return step / 3 * (height[0] + height[-1] + 4 * sum(height[1:-1:2]) + 2 * sum(height[2:-1:2]))
+
+    width = min(top, 12 / math.sqrt(freedom))   # beyond it lies less than e**-70 of the mass
+    angle = math.atan(abs(t) / math.sqrt(freedom))
+    return 0.0 if angle >= width else area(angle, min(width, top)) / area(0.0, min(width, top))
 
 
 def weather_impact(df: DataFrame) -> DataFrame:

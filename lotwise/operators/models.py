@@ -132,7 +132,8 @@ def fit_gradient_boosting(samples: DataFrame, horizons: int = HORIZON_HOURS, lot
 
 def _score_linear(windows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
     if windows.empty or model.empty:
-        return pd.DataFrame({LOT: [], "origin": [], "predictions": []})
+        return pd.DataFrame({LOT: pd.Series(dtype="int32"), "origin": pd.Series(dtype="datetime64[ns]"),
+                             "predictions": pd.Series(dtype=object)})
     model = model.sort_values("horizon")
     x = np.vstack(windows["window"].to_numpy())
     y = x @ np.vstack(model["coefficients"].to_numpy()).T + model["intercept"].to_numpy()

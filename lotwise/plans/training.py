@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotwise.operators.categories import categories_training
 from lotwise.operators.intervals import minute_free_spaces, minute_occupancy
 from lotwise.operators.joins import training_join
 from lotwise.operators.rollups import calendar_fields, hourly_rollup
 from lotwise.schemas import LOT
-from lotwise.sources.operations import (operations_csv_scan, operations_epoch_to_timestamp,
+from lotwise.sources.operations import (PLACE, operations_csv_scan, operations_epoch_to_timestamp,
                                         operations_valid_intervals)
 from lotwise.sources.tables import insert_ignore, materialise
 from lotwise.sources.weather import weather_json_explode
@@ -25,17 +25,17 @@ class TrainingTables:
 
 
 def load_operations(spark: SparkSession, path: str, zone: str = "UTC") -> DataFrame:
-    """Valid stays, one per lot, space and arrival, with timestamps."""
-    rows = operations_valid_intervals(operations_csv_scan(spark, path))
-    unique = insert_ignore(None, rows, [LOT, "parking_space_id", "arrival_unix_seconds"],
-                           ["departure_unix_seconds", "xml_id"])
+    """Valid stays, the first read of each lot, space and arrival (by file name, then line), with timestamps."""
+    rows = operations_valid_intervals(operations_csv_scan(spark, path, place=True))
+    unique = insert_ignore(None, rows, [LOT, "parking_space_id", "arrival_unix_seconds"], PLACE).drop(*PLACE)
     return operations_epoch_to_timestamp(unique, zone)
 
 
 def load_weather(spark: SparkSession, path: str) -> DataFrame:
-    """One row per hour from JSON documents, one document per file."""
-    rows = weather_json_explode(spark.read.option("wholetext", True).text(path), "value")
-    return insert_ignore(None, rows, ["hour_timestamp"], ["hour_timestamp", "temperature_2m"])
+    """One row per hour from JSON documents, one document per file; the first file by name wins."""
+    raw = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    rows = weather_json_explode(raw, "value", "_file")
+    return insert_ignore(None, rows, ["hour_timestamp"], ["_file", "_entry"]).drop("_file", "_entry")
 
 
 def prepare_training_data(operations: DataFrame, weather: DataFrame, lots: DataFrame, out: str) -> TrainingTables:

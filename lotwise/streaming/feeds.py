@@ -7,6 +7,7 @@ dies, and the newest batch of a key wins on reading.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from lotwise.functions.clock import HOUR, plus_hours, seconds_floor
 from lotwise.functions.values import mean_of_integers
-from lotwise.operators.blending import blend_predictions, constrain_predictions, prediction_rows
+from lotwise.operators.blending import blend_predictions, constrain_predictions, prediction_rows, unscored_lots
 from lotwise.operators.categories import categories_online
 from lotwise.operators.features import online_features, temperature_diff_1h
 from lotwise.operators.joins import weather_left_join
@@ -30,34 +31,46 @@ from lotwise.sources.tables import upsert_latest
 
 Sink = Callable[[DataFrame, int], None]
 
-LATENESS = "10 minutes"
+def stream_minute_feed(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Landed snapshot documents as rows of their lot and minute, however late they come.
 
-
-def stream_minute_feed(spark: SparkSession, folder: str, lateness: str = LATENESS,
-                       max_files: int | None = None) -> DataFrame:
-    """Landed snapshot documents as one row per lot and closed minute, the last one winning."""
+    A minute may come more than once; in the log the row fetched last wins (``minute_log``).
+    """
     reader = spark.readStream.schema(LANDED_SNAPSHOT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = minute_rows(occupancy_rate(occupancy_snapshot_parse(reader.json(folder))))
-    values = [c for c in rows.columns if c not in (LOT, "minute_timestamp", "fetched_at", "sequence")]
-    last = F.max_by(F.struct(*values), F.struct("fetched_at", "sequence"))
-    return (rows.withWatermark("fetched_at", lateness)
-            .groupBy(F.window("fetched_at", "1 minute"), LOT).agg(last.alias("_r"))
-            .select("window", F.col("window.start").alias("minute_timestamp"), LOT, "_r.*"))
-
-
-def stream_hourly_rollup(minutes: DataFrame) -> DataFrame:
-    """Hourly mean, smallest and largest free spaces once the hour is closed."""
-    known = minutes.where(F.col("free_spaces").isNotNull())
-    hours = known.groupBy(F.window("window", "1 hour"), LOT).agg(
-        F.sum("free_spaces").alias("_sum"), F.count("*").alias("_n"),
-        F.min("free_spaces").alias("min_free_spaces"), F.max("free_spaces").alias("max_free_spaces"))
-    return hours.select(
-        LOT, F.col("window.start").alias("hour_timestamp"),
-        mean_of_integers(F.col("_sum"), F.col("_n")).alias("avg_free_spaces"),
-        "min_free_spaces", "max_free_spaces",
-        (F.col("max_free_spaces") - F.col("min_free_spaces")).alias("free_spaces_range"))
+    return minute_rows(occupancy_rate(occupancy_snapshot_parse(reader.json(folder))))
+
+
+def minute_log(spark: SparkSession, path: str, schema: StructType, between: tuple[str, str] | None = None) -> DataFrame:
+    """The logged minutes, the newest snapshot of each lot and minute."""
+    return read_log(spark, path, schema, [LOT, "minute_timestamp"], between, ["fetched_at", "sequence"])
+
+
+def stream_hourly_rollup(minutes_path: str, hourly_path: str) -> Sink:
+    """Logs the minutes of each batch and computes the hours that they touch anew, open hours too."""
+    minute = "minute_timestamp"
+
+    def roll(batch: DataFrame, batch_id: int) -> None:
+        rows = stored(batch, "minutes")
+        span = rows.agg(F.date_format(F.min(minute), "yyyy-MM-dd").alias("a"), F.date_format(F.max(minute), "yyyy-MM-dd").alias("b")).first()
+        if span["a"] is None:
+            return
+        batch_log(minutes_path, minute)(rows, batch_id)
+        touched = rows.select(LOT, F.date_trunc("hour", minute).alias("hour_timestamp"), F.to_date(minute).alias("_day")).distinct()
+        # Late rows may span years: only the days that the batch touches are read.
+        known = (minute_log(rows.sparkSession, minutes_path, rows.schema, (span["a"], span["b"]))
+                 .withColumn("_day", F.to_date(minute)).join(touched.select(LOT, "_day").distinct(), [LOT, "_day"], "left_semi")
+                 .where(F.col("free_spaces").isNotNull()))
+        hours = known.groupBy(LOT, F.date_trunc("hour", minute).alias("hour_timestamp")).agg(
+            F.sum("free_spaces").alias("_sum"), F.count("*").alias("_n"),
+            F.min("free_spaces").alias("min_free_spaces"), F.max("free_spaces").alias("max_free_spaces"))
+        hours = hours.join(touched.select(LOT, "hour_timestamp"), [LOT, "hour_timestamp"], "left_semi").select(
+            LOT, "hour_timestamp", mean_of_integers(F.col("_sum"), F.col("_n")).alias("avg_free_spaces"),
+            "min_free_spaces", "max_free_spaces",
+            (F.col("max_free_spaces") - F.col("min_free_spaces")).alias("free_spaces_range"))
+        batch_log(hourly_path, "hour_timestamp")(hours, batch_id)
+    return roll
 
 
 def batch_log(path: str, ts: str) -> Sink:
@@ -70,13 +83,13 @@ def batch_log(path: str, ts: str) -> Sink:
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType, keys: list[str],
-             between: tuple[str, str] | None = None) -> DataFrame:
-    """Newest batch per key; ``between`` prunes day folders."""
+             between: tuple[str, str] | None = None, newest: list[str] | None = None) -> DataFrame:
+    """Newest batch per key, or the newest by the columns ``newest``; ``between`` prunes day folders."""
     full = StructType([*schema.fields]).add("date", "string").add("batch_id", "long")
     rows = spark.read.schema(full).parquet(path)
     if between:
         rows = rows.where(F.col("date").between(*between))
-    return upsert_latest(None, rows, keys, ["batch_id"]).drop("date", "batch_id")
+    return upsert_latest(None, rows, keys, newest or ["batch_id"]).drop("date", "batch_id")
 
 
 def drain(stream: DataFrame, sink: Sink | None, checkpoint: str, path: str | None = None) -> StreamingQuery:
@@ -100,27 +113,53 @@ def training_features(hourly: DataFrame, weather: DataFrame) -> DataFrame:
     return temperature_diff_1h(categories_online(weather_left_join(features, weather)), weather)
 
 
-def stream_feature_refresh(weather: DataFrame, hourly_path: str, features_path: str) -> Sink:
-    """Upserts changed hours and recomputes every hour whose 24-hour frame holds one.
+Weather = DataFrame | Callable[[], DataFrame]
+
 
-    Those are the changed hour and the 23 hours after it; only the days around the batch
-    are read again.
+def _refresh_hours(spark: SparkSession, changed: DataFrame, reach: int, weather: DataFrame, hourly_path: str,
+                   features_path: str, lots: bool) -> None:
+    """Recomputes the hours ``changed`` and the ``reach`` hours after each; hours without weather are held back.
+
+    Hours and weather refresh the same log, so its batches are numbered by the time of computing: what was computed
+    last, from all that was logged by then, wins. A replay computes again and adds equal or fresher rows.
     """
     hour = "hour_timestamp"
+    keys = [LOT, hour] if lots else [hour]
+    span = changed.agg(F.date_format(F.min(hour) - F.expr("interval 1 day"), "yyyy-MM-dd").alias("a"),
+                       F.date_format(F.max(hour) + F.expr("interval 1 day"), "yyyy-MM-dd").alias("b")).first()
+    if span["a"] is None:
+        return
+    hourly = read_log(spark, hourly_path, HOURLY, [LOT, hour], (span["a"], span["b"]))
+    at = seconds_floor(hour, HOUR)
+    affected = (changed.select(*keys[:-1], F.explode(F.sequence(at, at + reach)).alias("_h")).distinct()
+                .select(*keys[:-1], F.timestamp_seconds(F.col("_h") * HOUR).alias(hour)))
+    ready = weather.select(hour).distinct()
+    features = training_features(hourly, weather).join(affected, keys, "left_semi").join(ready, hour, "left_semi")
+    batch_log(features_path, hour)(features.select(LOT, hour, *[c for c in features.columns if c not in (LOT, hour)]), time.time_ns() // 1000)
+
+
+def stream_feature_refresh(weather: Weather, hourly_path: str, features_path: str) -> Sink:
+    """Upserts changed hours and recomputes every hour whose 24-hour frame holds one.
 
+    Those are the changed hour and the 23 hours after it; only the days around the batch are read again. Hours
+    without weather wait for it (``stream_weather_refresh``); ``weather`` may be a function that reads it per batch.
+    """
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        span = batch.agg(F.date_format(F.min(hour) - F.expr("interval 1 day"), "yyyy-MM-dd").alias("a"),
-                         F.date_format(F.max(hour) + F.expr("interval 1 day"), "yyyy-MM-dd").alias("b")).first()
-        if span["a"] is None:
-            return
-        batch_log(hourly_path, hour)(batch.select(HOURLY.fieldNames()), batch_id)
-        hourly = read_log(spark, hourly_path, HOURLY, [LOT, hour], (span["a"], span["b"]))
-        changed = seconds_floor(hour, HOUR)
-        affected = (batch.select(LOT, F.explode(F.sequence(changed, changed + 23)).alias("_h")).distinct()
-                    .select(LOT, F.timestamp_seconds(F.col("_h") * HOUR).alias(hour)))
-        features = training_features(hourly, weather).join(affected, [LOT, hour], "left_semi")
-        batch_log(features_path, hour)(features, batch_id)
+        rows = stored(batch.select(HOURLY.fieldNames()), "hours")
+        if not rows.isEmpty():
+            batch_log(hourly_path, "hour_timestamp")(rows, batch_id)
+            now = weather() if callable(weather) else weather
+            _refresh_hours(rows.sparkSession, rows, 23, now, hourly_path, features_path, True)
+    return refresh
+
+
+def stream_weather_refresh(weather: Weather, hourly_path: str, features_path: str) -> Sink:
+    """Recomputes the hours of all lots whose weather, or that of the hour before, has come or changed."""
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        rows = stored(batch.select("hour_timestamp").distinct(), "weather-hours")
+        if not rows.isEmpty():
+            now = weather() if callable(weather) else weather
+            _refresh_hours(rows.sparkSession, rows, 1, now, hourly_path, features_path, False)
     return refresh
 
 
@@ -158,16 +197,25 @@ def recent_features(spark: SparkSession, path: str, schema: StructType, lots: Da
     return recent_window(near.unionByName(far), n)
 
 
-def stream_scoring(features_path: str, features_schema: StructType, predictions_path: str, **parts) -> Sink:
-    """Scores the lots of each batch from the stored features and logs the forecasts."""
+def stream_scoring(features_path: str, features_schema: StructType, predictions_path: str,
+                   unscored_path: str | None = None, **parts) -> Sink:
+    """Scores the lots of each batch from the stored features and logs the forecasts.
+
+    A lot without ranges, models or weights does not hold up the others; ``unscored_path`` logs such lots with the reason.
+    """
     def score(batch: DataFrame, batch_id: int) -> None:
         newest = batch.agg(F.date_format(F.max("hour_timestamp"), "yyyy-MM-dd").alias("d")).first()["d"]
         if newest is None:
             return
         lots = batch.select(LOT).distinct()
         features = recent_features(batch.sparkSession, features_path, features_schema, lots, newest)
-        rows = score_latest(features, **parts)
+        rows = stored(score_latest(features, **parts), "forecast")
         batch_log(predictions_path, "prediction_made_at")(rows, batch_id)
+        if unscored_path:
+            held = {"ranges": parts["stats"], "first_model": parts["model_a"], "second_model": parts["model_b"], "weights": parts["alpha"]}
+            held = {name: part for name, part in held.items() if isinstance(part, DataFrame)} | {"forecast": rows}
+            left = unscored_lots(lots, **held).withColumn("noticed", F.to_timestamp(F.lit(newest)))
+            batch_log(unscored_path, "noticed")(left, batch_id)
     return score
 
 

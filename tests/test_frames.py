@@ -83,6 +83,15 @@ def test_exact_quantiles(spark, values):
         assert np.allclose(got[name].sort_index(), expected[p].sort_index(), rtol=0, atol=1e-12)
 
 
+def test_pearson_is_undefined_without_variation(spark):
+    rows = [(float(k), 1.0, None, float(k), k % 7 * 1.0) for k in range(40)]
+    df = spark.createDataFrame(rows, "avg_free_spaces double, temperature_2m double, precipitation double, same double, other double")
+    got = {r.column_name: r for r in explore.pearson_test(df, ["temperature_2m", "precipitation", "same", "other"]).collect()}
+    assert got["temperature_2m"][1:] == (None, None, None, 40, None) and got["precipitation"][1:] == (None, None, None, 0, None)
+    assert got["same"].r == pytest.approx(1) and got["same"].p_value == pytest.approx(0, abs=1e-12) and got["same"].significant
+    assert not got["other"].significant and 0 < got["other"].p_value < 1
+
+
 def test_pearson_p_value(spark):
     x = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
     y = [2.1, 3.9, 6.2, 7.8, 10.1, 9.0]

@@ -89,3 +89,15 @@ def test_alpha_equals_brute_force(spark):
         assert got[h] == pytest.approx(grid[int(np.argmin(errors))])
     tie = blending.fit_alpha(frame(a, "prediction"), frame(a, "prediction"), frame(y, "actual")).collect()
     assert {r.alpha for r in tie} == {0.0}
+
+
+def test_a_lot_without_model_does_not_stop_the_others(spark):
+    hour = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(hours=k)
+    rows = [(lot, hour(k), [float(k % 5), float(k % 3)], [float(k % 5) + 1, 2.0 * (k % 3)]) for lot in (1, 2, 3) for k in range(30)]
+    windows = spark.createDataFrame(rows, "parking_lot_id int, origin timestamp, window array<double>, targets array<double>")
+    model = models.fit_linear(windows.where("parking_lot_id < 3"))
+    pred = models.predict_long(model, windows, horizons=2)
+    assert {(r.parking_lot_id, r["count"]) for r in pred.groupBy("parking_lot_id").count().collect()} == {(1, 60), (2, 60)}
+    alpha = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.5)], "parking_lot_id int, horizon int, alpha double")
+    left = blending.unscored_lots(windows, first_model=model, weights=alpha)
+    assert {tuple(r) for r in left.collect()} == {(3, "no first_model"), (2, "no weights")}

@@ -32,11 +32,10 @@ def test_training_data_from_files(spark, tmp_path):
     assert tables.minute.count() == 2 * 1441
     got = tables.training.where("parking_lot_id = 1").orderBy("hour_timestamp").collect()
     assert len(got) == 24 and {r.temperature_category for r in got} == {"Hot"}
-    # The duplicate arrival of space 0 keeps the shorter stay (first in order); space s occupies
+    # The duplicate arrival of space 0 keeps the stay that was read first; space s occupies
     # minutes 10 s to 10 s + 119.
     busy = np.zeros(1440, int)
-    busy[0:2] += 1
-    for s in range(1, 5):
+    for s in range(5):
         busy[10 * s:10 * s + 120] += 1
     for r in got[:3]:
         free = 3 - busy[60 * r.hour_of_day:60 * r.hour_of_day + 60]
@@ -44,6 +43,21 @@ def test_training_data_from_files(spark, tmp_path):
         assert (r.min_free_spaces, r.max_free_spaces) == (free.min(), free.max())
 
 
+def test_first_row_of_the_first_file_wins(spark, tmp_path):
+    ops, weather = tmp_path / "ops", tmp_path / "weather"
+    ops.mkdir(), weather.mkdir()
+    head = "lot;space;arrival;departure;xml\n"
+    (ops / "b.csv").write_text(head + f"1;1;{START};{START + 60};1\n1;2;{START};{START + 50};2\n")
+    (ops / "a.csv").write_text(head + f"1;1;{START};{START + 900};3\n1;1;{START};{START + 30};4\n1;3;{START};{START};5\n")
+    got = {r.parking_space_id: r.xml_id for r in training.load_operations(spark, str(ops)).collect()}
+    assert got == {1: 3, 2: 2}
+    for name, degrees in (("b.json", [-3.0, 1.0]), ("a.json", [20.0])):
+        (weather / name).write_text(json.dumps({"hourly": {
+            "time": [f"2024-06-01T{h:02d}:00" for h in range(len(degrees))], "temperature_2m": degrees}}))
+    got = {r.hour_timestamp.hour: r.temperature_2m for r in training.load_weather(spark, str(weather)).collect()}
+    assert got == {0: 20.0, 1: 1.0}
+
+
 def test_last_hour_transformation(spark, tmp_path):
     v = Views(spark, "/root/testdata/sf0.001")
     hourly, features = str(tmp_path / "hourly"), str(tmp_path / "features")

@@ -18,35 +18,36 @@ def land(path, name, rows):
             out.write(json.dumps({"fetched_at": at, "sequence": sequence, "payload": payload}) + "\n")
 
 
-def run(spark, tmp_path, stream, ts, keys):
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    feeds.drain(stream, feeds.batch_log(out, ts), state)
-    return feeds.read_log(spark, out, stream.schema, keys)
+def test_late_and_open_minutes(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
 
+    def drained():
+        stream = feeds.stream_minute_feed(spark, str(folder))
+        feeds.drain(stream, feeds.batch_log(out, "minute_timestamp"), state)
+        rows = feeds.minute_log(spark, out, stream.schema).collect()
+        return sorted((r.minute_timestamp.hour, r.minute_timestamp.minute, r.free_spaces) for r in rows)
 
-def test_late_rows(spark, tmp_path):
-    folder = tmp_path / "in"
     land(folder, "a.json", [("2024-01-01T10:00:10", 1, 1, 10), ("2024-01-01T10:30:00", 2, 1, 20)])
-    stream = feeds.stream_minute_feed(spark, str(folder)).drop("window")
-    keys = [LOT, "minute_timestamp"]
-    got = run(spark, tmp_path, stream, "minute_timestamp", keys)
-    assert [(r.minute_timestamp.minute, r.free_spaces) for r in got.collect()] == [(0, 90)]
-    # 10:25 is within ten minutes of 10:30 and counts; 10:00:40 is beyond the watermark and is lost.
-    land(folder, "b.json", [("2024-01-01T10:25:00", 3, 1, 30), ("2024-01-01T10:00:40", 4, 1, 99),
-                            ("2024-01-01T10:30:50", 6, 1, 23), ("2024-01-01T10:30:40", 5, 1, 22),
-                            ("2024-01-01T11:30:00", 7, 1, 50)])
-    got = run(spark, tmp_path, feeds.stream_minute_feed(spark, str(folder)).drop("window"), "minute_timestamp", keys)
-    assert sorted((r.minute_timestamp.minute, r.free_spaces) for r in got.collect()) == [(0, 90), (25, 70), (30, 77)]
-
-
-def test_hours_need_their_close(spark, tmp_path):
-    folder = tmp_path / "in"
+    assert drained() == [(10, 0, 90), (10, 30, 80)]
+    # Two hours late, out of order, and a second snapshot of an old minute: all count.
+    land(folder, "b.json", [("2024-01-01T12:30:00", 7, 1, 50), ("2024-01-01T10:25:00", 3, 1, 30), ("2024-01-01T10:00:40", 4, 1, 99),
+                            ("2024-01-01T10:30:50", 6, 1, 23), ("2024-01-01T10:30:40", 5, 1, 22)])
+    assert drained() == [(10, 0, 1), (10, 25, 70), (10, 30, 77), (12, 30, 50)]
+
+
+def test_hours_follow_late_minutes(spark, tmp_path):
+    folder, minutes, hourly, state = tmp_path / "in", str(tmp_path / "minutes"), str(tmp_path / "hourly"), str(tmp_path / "state")
+
+    def drained():
+        feeds.drain(feeds.stream_minute_feed(spark, str(folder)), feeds.stream_hourly_rollup(minutes, hourly), state)
+        rows = feeds.read_log(spark, hourly, HOURLY, [LOT, "hour_timestamp"]).collect()
+        return sorted((r.hour_timestamp.hour, r.avg_free_spaces, r.min_free_spaces, r.max_free_spaces) for r in rows)
+
     land(folder, "a.json", [("2024-01-01T10:00:10", 1, 1, 10), ("2024-01-01T10:00:50", 2, 1, 40),
-                            ("2024-01-01T10:59:59", 3, 1, 20), ("2024-01-01T11:05:00", 4, 1, 0),
-                            ("2024-01-01T11:15:00", 5, 1, 0)])
-    stream = feeds.stream_hourly_rollup(feeds.stream_minute_feed(spark, str(folder)))
-    got = run(spark, tmp_path, stream, "hour_timestamp", [LOT, "hour_timestamp"]).collect()
-    assert [(r.hour_timestamp.hour, r.avg_free_spaces, r.min_free_spaces, r.max_free_spaces) for r in got] == [(10, 70.0, 60, 80)]
+                            ("2024-01-01T10:59:59", 3, 1, 20), ("2024-01-01T11:05:00", 4, 1, 0)])
+    assert drained() == [(10, 70.0, 60, 80), (11, 100.0, 100, 100)]
+    land(folder, "b.json", [("2024-01-01T13:00:00", 5, 1, 1), ("2024-01-01T10:30:00", 6, 1, 90)])
+    assert drained() == [(10, 50.0, 10, 80), (11, 100.0, 100, 100), (13, 99.0, 99, 99)]
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
@@ -82,6 +83,28 @@ def test_refresh_reaches_the_following_hours(spark, tmp_path):
     assert key(got) == key(expected)
 
 
+def test_hours_wait_for_their_weather(spark, tmp_path):
+    def weather(hours_known):
+        return spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), float(h), 50.0, 0.0) for h in hours_known],
+                                     "hour_timestamp timestamp, temperature_2m double, relative_humidity_2m double, precipitation double")
+    hourly, out = str(tmp_path / "hourly"), str(tmp_path / "features")
+    known = [weather(range(30))]
+    refresh = feeds.stream_feature_refresh(lambda: known[0], hourly, out)
+    arrived = feeds.stream_weather_refresh(lambda: known[0], hourly, out)
+    values = [(lot, h, h + lot) for lot in (1, 2) for h in range(40)]
+    refresh(hours(spark, values), 0)
+    schema = feeds.training_features(hours(spark, values), weather(range(40))).schema
+    read = lambda: feeds.read_log(spark, out, schema, [LOT, "hour_timestamp"]).select(schema.names)
+    assert read().count() == 60
+    known[0] = weather(range(40))
+    arrived(weather(range(30, 40)), 0)
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert key(read()) == key(feeds.training_features(hours(spark, values), weather(range(40))))
+    refresh(hours(spark, [(1, 35, 77)]), 1)          # a later correction wins over the weather's refresh
+    final = [(lot, h, 77 if (lot, h) == (1, 35) else v) for lot, h, v in values]
+    assert key(read()) == key(feeds.training_features(hours(spark, final), weather(range(40))))
+
+
 def test_silent_lot_still_has_its_last_hours(spark):
     path = scratch_path(spark, "features")
     rows = spark.createDataFrame(
