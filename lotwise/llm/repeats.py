@@ -166,7 +166,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     mixed = anchors.where("not same").drop("same")
     # Equal surroundings settle their members; one of them still stands for all in the next passes.
     members = mixed.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "print", "at")).alias("one"))
-    mixed = stored(mixed.join(members, ["anchor", "around"]), "mixed-anchors")
+    mixed = stored(mixed.join(stored(members, "members").hint("merge"), ["anchor", "around"]), "mixed-anchors")
     spans = spans.unionByName(_spans(mixed.where("n > 1"), F.col("first"), F.col("last"), length))
     going = (mixed.where(F.struct("doc_id", "print", "at") == F.col("one"))
              .groupBy("doc_id", "print").agg(F.collect_set(F.struct("anchor", "at", "first", "last", (F.col("n") > 1).alias("settled"))).alias("anchors")))
