@@ -73,6 +73,16 @@ def _sample_sums(v: Views) -> DataFrame:
         F.element_at("targets", 1).alias("first_target"), F.element_at("targets", -1).alias("last_target"))
 
 
+#: Hours with 47 hours before them in the lot's span and a real value in each of the 24 hours after them.
+_ORIGINS = """
+    select m.parking_lot_id, m.hour_timestamp, date_diff('hour', s.a, m.hour_timestamp) - 47 since,
+           date_diff('hour', s.a, s.b) + 1 n_hours
+    from model_frame m
+    join (select parking_lot_id, min(hour_timestamp) a, max(hour_timestamp) b from hourly_base group by 1) s using (parking_lot_id)
+    where m.hour_timestamp >= s.a + interval 47 hour
+      and 24 = (select count(*) from hourly_base h where h.parking_lot_id = m.parking_lot_id
+                and h.hour_timestamp > m.hour_timestamp and h.hour_timestamp <= m.hour_timestamp + interval 24 hour)"""
+
 _ROW_SUMS = (f"({' + '.join(f'{i} * {c}' for i, c in enumerate(MODEL_FEATURES, 1))}) a, "
              f"({' + '.join(MODEL_FEATURES)}) b")
 
@@ -217,13 +227,15 @@ ENTRIES = {
     "minmax_per_timestep": Entry(
         "parking_lot_id:i position:i low:d high:d scaled:d", _scaled,
         f"""with long as (
-              select parking_lot_id, r, n, u.i f, u.x x from (
-                select parking_lot_id, r, max(r) over (partition by parking_lot_id) n,
+              select parking_lot_id, hour_timestamp, r, n, u.i f, u.x x from (
+                select parking_lot_id, hour_timestamp, r, max(r) over (partition by parking_lot_id) n,
                        [{', '.join(MODEL_FEATURES)}] xs from {_STEPS}) m,
                 lateral (select unnest(range(0, 20)) i, unnest(xs) x) u),
             ranges as (
-              select parking_lot_id, t.t * 20 + f position, min(x) low, max(x) high
-              from long join range(0, 48) t(t) on r between t.t + 1 and n - 24 - 47 + t.t group by all),
+              select l.parking_lot_id, t.t * 20 + f position, min(x) low, max(x) high
+              from ({_ORIGINS}) o join range(0, 48) t(t) on true
+              join long l on l.parking_lot_id = o.parking_lot_id and l.hour_timestamp = o.hour_timestamp - to_hours(47 - t.t)
+              group by all),
             newest as (
               select parking_lot_id, t.t * 20 + f position, x from long join range(0, 48) t(t)
               on r = greatest(n - 47 + t.t, 1))
@@ -246,15 +258,16 @@ ENTRIES = {
     "supervised_windows": Entry(
         "parking_lot_id:i origin:t split:s n_inputs:i n_targets:i window_sum:m target_sum:m first_target:d last_target:d",
         _sample_sums,
-        f"""with steps as (select *, {_ROW_SUMS}, max(r) over (partition by parking_lot_id) n from {_STEPS})
-            select o.parking_lot_id, o.hour_timestamp origin, 960 n_inputs, 24 n_targets,
-                   case when o.r - 48 < floor((o.n - 71) * 0.7) then 'train'
-                        when o.r - 48 < floor((o.n - 71) * 0.85) then 'validation' else 'test' end split,
-                   sum(case when h.r <= o.r then h.a + 20 * (h.r - o.r + 47) * h.b end) window_sum,
-                   sum(case when h.r > o.r then h.avg_free_spaces * (h.r - o.r) end) target_sum,
-                   max(case when h.r = o.r + 1 then h.avg_free_spaces end) first_target,
-                   max(case when h.r = o.r + 24 then h.avg_free_spaces end) last_target
-            from steps o join steps h on h.parking_lot_id = o.parking_lot_id and h.r between o.r - 47 and o.r + 24
-            where o.r >= 48 and o.r <= o.n - 24
-            group by o.parking_lot_id, o.hour_timestamp, o.r, o.n"""),
+        f"""select parking_lot_id, origin, 960 n_inputs, 24 n_targets,
+                   case when since < floor((n_hours - 71) * 0.7) then 'train'
+                        when since < floor((n_hours - 71) * 0.85) then 'validation' else 'test' end split,
+                   sum(case when k <= 0 then a + 20 * (k + 47) * b end) window_sum,
+                   sum(case when k > 0 then avg_free_spaces * k end) target_sum,
+                   max(case when k = 1 then avg_free_spaces end) first_target,
+                   max(case when k = 24 then avg_free_spaces end) last_target
+            from (select o.parking_lot_id, o.hour_timestamp origin, o.since, o.n_hours,
+                         date_diff('hour', o.hour_timestamp, h.hour_timestamp) k, h.avg_free_spaces, {_ROW_SUMS}
+                  from ({_ORIGINS}) o join model_frame h on h.parking_lot_id = o.parking_lot_id
+                       and h.hour_timestamp between o.hour_timestamp - interval 47 hour and o.hour_timestamp + interval 24 hour)
+            group by parking_lot_id, origin, since, n_hours"""),
 }

@@ -135,10 +135,24 @@ CTES = {
                c.temperature_2m - (select w.temperature_2m from weather_hourly w
                 where w.hour_timestamp = c.hour_timestamp - interval 1 hour) temperature_diff_1h
         from online_weather c""",
+    "lot_hours": f"""
+        select o.* exclude (hour_timestamp, hour_of_day, day_of_week, weekday_name, day_of_month, calendar_week, month_number,
+                            month_name, parking_lot_id),
+               g.parking_lot_id, g.hour_timestamp, {CALENDAR.replace('hour_timestamp', 'g.hour_timestamp')},
+               o.avg_free_spaces is not null observed
+        from (select parking_lot_id, unnest(generate_series(min(hour_timestamp), max(hour_timestamp), interval 1 hour))
+                     hour_timestamp from online group by parking_lot_id) g
+        left join online o on o.parking_lot_id = g.parking_lot_id and o.hour_timestamp = g.hour_timestamp""",
+    "filled_hours": f"""
+        select parking_lot_id, hour_timestamp, observed,
+               {', '.join(filled(c, f'coalesce({c}, 0)' if c.endswith('std_24h') else c) for c in _GAPPY)},
+               month(hour_timestamp) "month", {', '.join(f'{c} own_{c}' for c in MODEL_VOCABULARY)}
+        from lot_hours""",
+    "labelled_hours": f"""
+        select * replace ({', '.join(f'coalesce(own_{c}, {c}) as {c}' for c in MODEL_VOCABULARY)})
+        from (select *, {labels(ONLINE_CATEGORIES)} from filled_hours)""",
     "model_rows": f"""
-        select parking_lot_id, hour_timestamp, {', '.join(filled(c, f'coalesce({c}, 0)' if c.endswith('std_24h') else c) for c in _GAPPY)},
-               month(hour_timestamp) "month", {', '.join(f'{model_label(c)} {c}' for c in MODEL_VOCABULARY)}
-        from online""",
+        select * replace ({', '.join(f'{model_label(c)} as {c}' for c in MODEL_VOCABULARY)}) from labelled_hours""",
     "model_frame": f"""
         select * replace ({', '.join(f'{model_code(c)} as {c}' for c in MODEL_VOCABULARY)}) from model_rows""",
     "pair": """

@@ -67,12 +67,19 @@ def _predict(v: Views) -> DataFrame:
 
 
 _LINES = """
-    with steps as materialized (select parking_lot_id, hour_timestamp, avg_free_spaces x,
-                          row_number() over (partition by parking_lot_id order by hour_timestamp) r,
-                          count(*) over (partition by parking_lot_id) - 24 m from model_frame),
-         lines as materialized (select a.parking_lot_id, b.r - a.r horizon, regr_slope(b.x, a.x) slope, regr_intercept(b.x, a.x) intercept
-                   from steps a join steps b on b.parking_lot_id = a.parking_lot_id and b.r between a.r + 1 and a.r + 24
-                   where a.r - 1 < floor(a.m * 0.7) group by all)"""
+    with steps as materialized (
+           select m.parking_lot_id, hour_timestamp, avg_free_spaces x, date_diff('hour', s.a, hour_timestamp) since,
+                  date_diff('hour', s.a, s.b) - 23 m,
+                  (select count(*) from hourly_base h where h.parking_lot_id = m.parking_lot_id
+                   and h.hour_timestamp > m.hour_timestamp and h.hour_timestamp <= m.hour_timestamp + interval 24 hour) known
+           from model_frame m
+           join (select parking_lot_id, min(hour_timestamp) a, max(hour_timestamp) b from hourly_base group by 1) s
+                on s.parking_lot_id = m.parking_lot_id),
+         lines as materialized (
+           select a.parking_lot_id, h.h horizon, regr_slope(b.x, a.x) slope, regr_intercept(b.x, a.x) intercept
+           from steps a join range(1, 25) h(h) on true
+           join steps b on b.parking_lot_id = a.parking_lot_id and b.hour_timestamp = a.hour_timestamp + to_hours(h.h)
+           where a.known = 24 and a.since < floor(a.m * 0.7) group by all)"""
 
 
 def _constrained(v: Views) -> DataFrame:
@@ -182,7 +189,7 @@ ENTRIES = {
     "predict_long": Entry(
         "parking_lot_id:i origin:t horizon:i prediction:d", _predict,
         _LINES + """ select parking_lot_id, hour_timestamp origin, horizon, intercept + slope * x prediction
-                     from steps join lines using (parking_lot_id) where r <= m and r - 1 >= floor(m * 0.7)"""),
+                     from steps join lines using (parking_lot_id) where known = 24 and since >= floor(m * 0.7)"""),
     "blend_predictions": Entry(
         "parking_lot_id:i origin:t horizon:i prediction:d",
         lambda v: blending.blend_predictions(v.one("model_a"), v.one("model_b"), v.alpha), "select * from blended"),

@@ -143,22 +143,6 @@ def feature_fallbacks(df: DataFrame) -> DataFrame:
         *df.columns, *([] if "month" in df.columns else ["month"]))
 
 
-def without_gaps(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``feature_fallbacks`` and ``fill_gaps`` on a stored table, as far as its rows need them.
-
-    One aggregate tells which lots lack a feature and which columns hold a NULL at all; the
-    windows then run for those columns only.
-    """
-    per_lot = df.groupBy(LOT).agg(
-        *[F.max(F.col(c).isNotNull()).alias(f"_has_{c}") for c in ENGINEERED],
-        *[F.count_if(F.col(c).isNull()).alias(f"_gaps_{c}") for c in columns])
-    state = per_lot.agg(*[F.min(f"_has_{c}").alias(f"_has_{c}") for c in ENGINEERED],
-                        *[F.sum(f"_gaps_{c}").alias(f"_gaps_{c}") for c in columns]).first()
-    complete = all(state[f"_has_{c}"] for c in ENGINEERED)
-    rows = _with_month(df) if complete else feature_fallbacks(df)
-    return fill_gaps(rows, [c for c in columns if state[f"_gaps_{c}"]])
-
-
 def fill_gaps(df: DataFrame, columns: list[str]) -> DataFrame:
     """Last known value, else the next known one, else 0, along each lot's history."""
     if not columns:

@@ -8,10 +8,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lotwise.functions.clock import instant, plus_hours
-from lotwise.operators.categories import categories_to_model
-from lotwise.operators.features import without_gaps
+from lotwise.functions.clock import calendar, instant, plus_hours
+from lotwise.operators.categories import categories_online, categories_to_model
+from lotwise.operators.features import feature_fallbacks, fill_gaps
 from lotwise.operators.frames import join_per_lot, over_rows
+from lotwise.operators.rollups import hour_series_complete
 from lotwise.schemas import (HORIZON_HOURS, HYBRID_FEATURES, LOT, MODEL_FEATURES, MODEL_VOCABULARY,
                              PAST_HOURS)
 
@@ -50,10 +51,21 @@ def ordinal_encode(df: DataFrame, mapping: dict[str, list[str]] | None = None) -
 
 
 def model_frame(features: DataFrame) -> DataFrame:
-    """A stored table of online features as the 20 numeric model inputs, without gaps."""
+    """Online features as the 20 numeric model inputs, one row for every hour of a lot.
+
+    Hours that are missing between a lot's first and last one are added: their calendar is their own, numbers are
+    filled like other gaps, labels follow the filled numbers. ``observed`` tells whether the hour's value was there.
+    """
     numeric = [c for c in MODEL_FEATURES if c not in MODEL_VOCABULARY and c != "month"]
-    coded = ordinal_encode(categories_to_model(without_gaps(features, numeric)))
-    return coded.select(LOT, TS, *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES])
+    hours = hour_series_complete(features)
+    fields = calendar(TS)
+    placed = hours.withColumns({c: fields[c] for c in fields if c in hours.columns})
+    seen = placed.withColumn("observed", F.col("avg_free_spaces").isNotNull())
+    filled = fill_gaps(feature_fallbacks(seen), numeric)
+    own = filled.withColumns({f"_own_{c}": F.col(c) for c in MODEL_VOCABULARY})
+    labelled = categories_online(own).withColumns({c: F.coalesce(f"_own_{c}", c) for c in MODEL_VOCABULARY})
+    coded = ordinal_encode(categories_to_model(labelled))
+    return coded.select(LOT, TS, *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES], "observed")
 
 
 def align_features(df: DataFrame, expected: list[str] | None = None, width: int = 20) -> DataFrame:
@@ -75,17 +87,20 @@ def flatten_window(padded: DataFrame, features: list[str] | None = None) -> Data
 def supervised_windows(frame: DataFrame, past: int = PAST_HOURS, horizon: int = HORIZON_HOURS,
                        features: list[str] | None = None, target: str = "avg_free_spaces",
                        train: float = 0.7, validation: float = 0.15) -> DataFrame:
-    """Samples of ``past`` rows and the next ``horizon`` targets, split by time per lot.
+    """Samples of ``past`` hours and the next ``horizon`` targets, split by time per lot.
 
-    Only full samples are kept. The first ``train`` share of a lot's samples is for
-    training, the next ``validation`` share for validation, the rest for testing.
+    ``frame`` holds every hour of a lot (``model_frame``). Only full samples whose targets were all ``observed`` are
+    kept. The first ``train`` share of a lot's possible origins is for training, the next ``validation`` share for
+    validation, the rest for testing.
     """
     features = features or MODEL_FEATURES
-    rows = frame.select(LOT, TS, F.col(target).cast("double").alias("_y"),
+    seen = F.col("observed") if "observed" in frame.columns else F.lit(True)
+    rows = frame.select(LOT, TS, F.col(target).cast("double").alias("_y"), seen.cast("int").alias("_seen"),
                         F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
     sampled = over_rows(rows, TS, lambda w: {
         "window": F.flatten(F.collect_list("_x").over(w.rowsBetween(-(past - 1), 0))),
-        "targets": F.collect_list("_y").over(w.rowsBetween(1, horizon))},
+        "targets": F.collect_list("_y").over(w.rowsBetween(1, horizon)),
+        "_known": F.sum("_seen").over(w.rowsBetween(1, horizon))},
         before=past - 1, after=horizon, keep_row=True, total="_rows")
     samples = F.col("_rows") - (past + horizon - 1)
     # Shares in whole thousandths, so that the borders do not depend on binary fractions.
@@ -93,7 +108,7 @@ def supervised_windows(frame: DataFrame, past: int = PAST_HOURS, horizon: int =
     split = (F.when(place < samples * round(train * 1000) - 999, "train")
              .when(place < samples * round((train + validation) * 1000) - 999, "validation")
              .otherwise("test"))
-    full = (F.size("window") == past * len(features)) & (F.size("targets") == horizon)
+    full = (F.size("window") == past * len(features)) & (F.col("_known") == horizon)
     return (sampled.where(full)
             .select(LOT, F.col(TS).alias("origin"), split.alias("split"), "window", "targets"))
 

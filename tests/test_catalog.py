@@ -19,6 +19,16 @@ def test_equals_sql(spark, con, name):
     assert difference(entry.run(spark, FOLDER), con, entry.sql()) is None
 
 
+@pytest.mark.parametrize("name", ["supervised_windows", "minmax_per_timestep", "fit_linear", "predict_long"])
+def test_samples_equal_sql(spark, name):
+    """The smallest tables have no 24 hours without a gap, so that samples are checked on larger ones."""
+    folder = "/root/testdata/sf0.01"
+    entry = ENTRIES[name]
+    df = entry.run(spark, folder)
+    assert not df.isEmpty()
+    assert difference(df, duck(folder), entry.sql()) is None
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as contract
     assert set(contract.oracle_sql()) <= set(contract.queries())

@@ -101,3 +101,24 @@ def test_a_lot_without_model_does_not_stop_the_others(spark):
     alpha = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.5)], "parking_lot_id int, horizon int, alpha double")
     left = blending.unscored_lots(windows, first_model=model, weights=alpha)
     assert {tuple(r) for r in left.collect()} == {(3, "no first_model"), (2, "no weights")}
+
+
+def test_samples_count_hours_across_a_gap(spark):
+    """Ten hours are missing: no sample has one of them as a target, and windows stay 48 consecutive hours."""
+    from lotwise.plans.fixtures import Views
+    from lotwise.streaming.feeds import training_features
+    base = dt.datetime(2024, 1, 1)
+    hourly = spark.createDataFrame([(1, base + dt.timedelta(hours=h), float(h)) for h in range(200) if not 100 <= h < 110],
+                                   "parking_lot_id int, hour_timestamp timestamp, avg_free_spaces double").withColumns({
+        "min_free_spaces": F.lit(0), "max_free_spaces": F.lit(60), "free_spaces_range": F.lit(60)})
+    frame = supervised.model_frame(training_features(hourly, Views(spark, "/root/testdata/sf0.001").weather)).cache()
+    hours = {int((r.hour_timestamp - base).total_seconds() // 3600): r for r in frame.collect()}
+    assert sorted(hours) == list(range(200))
+    assert [h for h in hours if not hours[h].observed] == list(range(100, 110))
+    assert hours[105].avg_free_spaces == 99 and hours[105].hour_of_day == 105 % 24
+    samples = supervised.supervised_windows(frame, features=["avg_free_spaces"]).collect()
+    origins = {int((r.origin - base).total_seconds() // 3600): r for r in samples}
+    assert sorted(origins) == [o for o in range(47, 176) if not any(100 <= o + h < 110 for h in range(1, 25))]
+    for o, r in origins.items():
+        assert r.targets == [o + h for h in range(1, 25)]
+        assert r.window == [99 if 100 <= h < 110 else h for h in range(o - 47, o + 1)]
