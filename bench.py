@@ -60,8 +60,8 @@ def main() -> None:
     train, rest = samples[0].where("split = 'train'"), samples[0].where("split <> 'train'")
     fitted: dict = {}
     timed("fit_linear", lambda: fitted.update(linear=stored(models.fit_linear(train), "model")))
-    timed("fit_random_forest", lambda: fitted.update(forest=models.fit_random_forest(train, trees=20, depth=6)))
-    timed("fit_gradient_boosting", lambda: fitted.update(boosted=models.fit_gradient_boosting(train, rounds=10, depth=3)))
+    timed("fit_random_forest", lambda: fitted.update(forest=models.fit_random_forest(train)))
+    timed("fit_gradient_boosting", lambda: fitted.update(boosted=models.fit_gradient_boosting(train)))
     for name, model in fitted.items():
         timed(f"predict_{name}", lambda: models.predict_long(model, rest).write.format("noop").mode("overwrite").save())
     print(json.dumps({"metric": "total seconds of the headline queries", "value": round(sum(times.values()), 3),

@@ -182,10 +182,10 @@ ENTRIES = {
     "fit_linear_windows": Entry("parking_lot_id:i horizon:i intercept:d n_coefficients:i", _linear_windows),
     "fit_random_forest": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
-        lambda v: _tree_quality(v, lambda s: models.fit_random_forest(s, trees=8, depth=5))),
+        lambda v: _tree_quality(v, models.fit_random_forest)),
     "fit_gradient_boosting": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
-        lambda v: _tree_quality(v, lambda s: models.fit_gradient_boosting(s, rounds=4, depth=3))),
+        lambda v: _tree_quality(v, models.fit_gradient_boosting)),
     "predict_long": Entry(
         "parking_lot_id:i origin:t horizon:i prediction:d", _predict,
         _LINES + """ select parking_lot_id, hour_timestamp origin, horizon, intercept + slope * x prediction

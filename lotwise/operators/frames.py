@@ -111,14 +111,11 @@ def carried(df: DataFrame, ts: str, columns: list[str], keys: tuple[str, ...] =
         *[F.coalesce(f"_a_{c}", f"_out_{c}").alias(f"_ahead_{c}") for c in columns])
 
 
-def join_per_lot(rows: DataFrame, per_lot: DataFrame, ts: str, broadcast_rows: int = 0) -> DataFrame:
+def join_per_lot(rows: DataFrame, per_lot: DataFrame, ts: str) -> DataFrame:
     """Left join of one row per lot to a large table, never shuffling by lot alone.
 
-    Up to ``broadcast_rows`` counted rows the small side is broadcast. Otherwise it is
-    repeated per slot in which a lot has rows, and the join runs on (lot, slot).
+    The small side is repeated per slot in which a lot has rows, and the join runs on (lot, slot).
     """
-    if broadcast_rows and per_lot.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return rows.join(F.broadcast(per_lot), LOT, "left")
     slot = seconds_floor(ts, SLOT_SECONDS)
     slots = rows.select(F.col(LOT).alias("_lot"), slot.alias("_cut")).distinct()
     repeated = per_lot.join(slots, F.col(LOT) == F.col("_lot")).drop("_lot")

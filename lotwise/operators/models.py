@@ -2,8 +2,8 @@
 
 The linear model is solved for all lots and horizons in one job from summed cross
 products; a lot of any size only ever meets the solver as a matrix of fixed size. The
-tree models use Spark ML, one ensemble per horizon over all lots with the lot as an
-input, or one per named lot.
+tree models use Spark ML, one ensemble per horizon over all lots that learns distances
+from each lot's level, or one per named lot.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.clock import DAY, seconds_floor
-from lotwise.operators.frames import spread_out
+from lotwise.operators.frames import join_per_lot, spread_out
 from lotwise.schemas import HORIZON_HOURS, LOT
 from lotwise.session import stored
 
@@ -32,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LINEAR_MODEL = f"{LOT} int, horizon int, intercept double, coefficients array<double>"
 _FIT_SLOT = 180 * DAY         # samples of one lot and slot are summed in one task
 _SCORE_SLOT = 30 * DAY        # windows of one lot and slot are scored together
+_TREE_ROWS = 10_000           # samples per task of a tree fit, whose tasks each hold and send the sums of all open nodes
 
 
 def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,19 +88,42 @@ def fit_linear(samples: DataFrame) -> DataFrame:
 
 @dataclass
 class TreeForecaster:
-    """Fitted ensembles per horizon; ``by_lot`` is empty for the model pooled over all lots."""
+    """Fitted ensembles per horizon; ``by_lot`` is empty for the model pooled over all lots.
+
+    ``levels`` holds the mean and the spread of each lot's training targets.
+    """
 
     pooled: dict[int, object]
     by_lot: dict[int, dict[int, object]]
+    levels: DataFrame
+
 
+def _lot_levels(samples: DataFrame) -> DataFrame:
+    """Mean and spread of the targets per lot, combined map-side; the row without lot holds those of all lots."""
+    each = samples.select(LOT, F.explode("targets").alias("_y"))
+    spread = F.stddev_pop("_y")
+    return each.rollup(LOT).agg(F.avg("_y").alias("_level"), F.when(spread > 0, spread).otherwise(F.lit(1.0)).alias("_spread"))
 
-def _tree_inputs(samples: DataFrame) -> Column:
-    return array_to_vector(F.concat("window", F.array(F.col(LOT).cast("double")))).alias("features")
+
+def _tree_inputs(samples: DataFrame, levels: DataFrame) -> DataFrame:
+    """Adds the lot's ``_level`` and ``_spread``, and ``features``: the window followed by both.
+
+    Trees learn targets as distances from the lot's level in units of its spread, so that any number of lots can be
+    told apart. A lot that was not in training takes the figures of all lots.
+    """
+    figures = ["_level", "_spread"]
+    overall = levels.where(F.col(LOT).isNull()).first()
+    joined = join_per_lot(samples, levels.where(F.col(LOT).isNotNull()), "origin")
+    known = joined.withColumns({c: F.coalesce(c, F.lit(overall[c] if overall else None).cast("double")) for c in figures})
+    return known.withColumn("features", array_to_vector(F.concat("window", F.array(*figures))))
 
 
 def _fit_trees(samples: DataFrame, estimator, horizons: int, lots: list[int] | None,
                parallelism: int) -> TreeForecaster:
-    rows = stored(samples.select(LOT, _tree_inputs(samples), "targets"), "tree-samples")
+    levels = stored(_lot_levels(samples), "levels")
+    distances = F.transform("targets", lambda y: (y - F.col("_level")) / F.col("_spread")).alias("targets")
+    rows = stored(_tree_inputs(samples, levels).select(LOT, "features", distances), "tree-samples")
+    rows = rows.coalesce(rows.count() // _TREE_ROWS + 1)
 
     def fit(job: tuple[int | None, int]):
         lot, h = job
@@ -109,7 +133,7 @@ def _fit_trees(samples: DataFrame, estimator, horizons: int, lots: list[int] | N
     with ThreadPoolExecutor(parallelism) as pool:
         fitted = dict(zip(jobs, pool.map(fit, jobs)))
     group = {lot: {h: m for (owner, h), m in fitted.items() if owner == lot} for lot in (lots or [None])}
-    return TreeForecaster(group.pop(None, {}), group)
+    return TreeForecaster(group.pop(None, {}), group, levels)
 
 
 def fit_random_forest(samples: DataFrame, horizons: int = HORIZON_HOURS, lots: list[int] | None = None,
@@ -150,21 +174,22 @@ def _linear_predictions(model: DataFrame, windows: DataFrame) -> DataFrame:
             .applyInPandas(_score_linear, f"{LOT} int, origin timestamp, predictions array<double>"))
 
 
-def _tree_predictions(models: dict[int, object], windows: DataFrame) -> DataFrame:
+def _tree_predictions(models: dict[int, object], windows: DataFrame, levels: DataFrame) -> DataFrame:
     """All horizons in one pass over the windows."""
-    scored = windows.select(LOT, "origin", _tree_inputs(windows))
+    scored = _tree_inputs(windows, levels).select(LOT, "origin", "_level", "_spread", "features")
     for h, model in sorted(models.items()):
         scored = model.copy().setPredictionCol(f"_h{h}").transform(scored)
-    return scored.select(LOT, "origin", F.array(*[F.col(f"_h{h}") for h in sorted(models)]).alias("predictions"))
+    outputs = [F.col(f"_h{h}") * F.col("_spread") + F.col("_level") for h in sorted(models)]
+    return scored.select(LOT, "origin", F.array(*outputs).alias("predictions"))
 
 
 def predict_long(model: DataFrame | TreeForecaster, windows: DataFrame,
                  horizons: int = HORIZON_HOURS) -> DataFrame:
     """(lot, origin, horizon, prediction); missing horizons repeat the model's last output."""
     if isinstance(model, TreeForecaster):
-        parts = [_tree_predictions(m, windows.where(F.col(LOT) == lot)) for lot, m in model.by_lot.items()]
+        parts = [_tree_predictions(m, windows.where(F.col(LOT) == lot), model.levels) for lot, m in model.by_lot.items()]
         if model.pooled:
-            parts.append(_tree_predictions(model.pooled, windows))
+            parts.append(_tree_predictions(model.pooled, windows, model.levels))
         wide = parts[0]
         for part in parts[1:]:
             wide = wide.unionByName(part)

@@ -121,14 +121,10 @@ def fit_minmax(windows: DataFrame) -> DataFrame:
             .select(LOT, vector_to_array("_s.min").alias("low"), vector_to_array("_s.max").alias("high")))
 
 
-STATS_BROADCAST_LOTS = 2000   # about 30 MB of ranges
-
-
 def minmax_per_timestep(windows: DataFrame, stats: DataFrame) -> DataFrame:
     """Scales each position with its own range; a constant position becomes 0.
 
-    Positions without a fitted range pass through unscaled. ``stats`` is best a stored table,
-    since its lots are counted before the join.
+    Positions without a fitted range pass through unscaled.
     """
     factor = F.zip_with("high", "low", lambda h, lo: F.when(h != lo, 1 / (h - lo)).otherwise(F.lit(0.0)))
     ranges = stats.select(LOT, "low", factor.alias("_factor"))
@@ -136,6 +132,6 @@ def minmax_per_timestep(windows: DataFrame, stats: DataFrame) -> DataFrame:
     moved = F.zip_with(F.slice("window", 1, known), "low", lambda x, lo: x - lo)
     scaled = F.concat(F.zip_with(moved, "_factor", lambda d, f: d * f),
                       F.slice("window", known + 1, F.greatest(F.size("window") - known, F.lit(0))))
-    joined = join_per_lot(windows, ranges, "origin", STATS_BROADCAST_LOTS)
+    joined = join_per_lot(windows, ranges, "origin")
     return joined.withColumn("window", F.when(F.col("low").isNull(), F.col("window")).otherwise(scaled)) \
         .select(*windows.columns)

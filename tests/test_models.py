@@ -62,15 +62,26 @@ def test_trees_learn(spark, fit, lots):
     assert len(quality) == 2 and all(r.n_samples == 80 and r.r2 > 0.3 for r in quality)
 
 
-def test_minmax_and_constant_position(spark, monkeypatch):
+@pytest.mark.parametrize("fit", [
+    lambda s: models.fit_random_forest(s, horizons=1, trees=10, depth=8),
+    lambda s: models.fit_gradient_boosting(s, horizons=1, rounds=20, depth=4, step=0.5)])
+def test_trees_tell_many_lots_apart(spark, fit):
+    """Two hundred lots that differ by nothing but their level, high and low in turn by number."""
+    rows = [(lot, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), [0.5], [float(lot // 2 + 500 * (lot % 2) + 200 * (lot % 3))])
+            for lot in range(200) for i in range(5)]
+    samples = spark.createDataFrame(rows, "parking_lot_id int, origin timestamp, window array<double>, targets array<double>")
+    actual = samples.select(LOT, "origin", F.lit(1).alias("horizon"), F.element_at("targets", 1).alias("actual"))
+    judged = models.predict_long(fit(samples), samples, horizons=1).join(actual, [LOT, "origin", "horizon"])
+    assert blending.regression_metrics(judged, ["horizon"]).first().r2 > 0.95
+
+
+def test_minmax_and_constant_position(spark):
     df = spark.createDataFrame([(lot, dt.datetime(2024, 1, 1), w) for lot, w in (
         (1, [0.0, 5.0, 3.0]), (1, [10.0, 5.0, 1.0, 9.0]), (2, [7.0, 7.0, 7.0]))],
         "parking_lot_id int, origin timestamp, window array<double>")
     stats = supervised.fit_minmax(df.where("parking_lot_id = 1").withColumn("window", F.slice("window", 1, 3)))
-    for limit in (2000, 0):     # broadcast, and the join by lot and slot
-        monkeypatch.setattr(supervised, "STATS_BROADCAST_LOTS", limit)
-        got = sorted(tuple(r.window) for r in supervised.minmax_per_timestep(df, stats).collect())
-        assert got == [(0.0, 0.0, 1.0), (1.0, 0.0, 0.0, 9.0), (7.0, 7.0, 7.0)]
+    got = sorted(tuple(r.window) for r in supervised.minmax_per_timestep(df, stats).collect())
+    assert got == [(0.0, 0.0, 1.0), (1.0, 0.0, 0.0, 9.0), (7.0, 7.0, 7.0)]
 
 
 def test_alpha_equals_brute_force(spark):
