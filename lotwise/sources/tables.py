@@ -82,16 +82,42 @@ def upsert_latest(target: DataFrame | None, batch: DataFrame, keys: list[str],
     return _first_per_key(rows, keys, newest).drop("_source")
 
 
-def unique_append(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Appends the batch; a key that occurs twice or is already stored stops the job."""
+def _all_new(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch; reading it fails if a key occurs twice or is already stored."""
     taken = _stored_keys(target, batch, keys).withColumn("_taken", F.lit(True))
     copies = F.count("*").over(Window.partitionBy(*keys))
     message = F.concat(F.lit("duplicate key: "), F.to_json(F.struct(*keys)))
     clash = F.col("_taken").isNotNull() | (F.col("_copies") > 1)
-    checked = (batch.withColumn("_copies", copies).join(taken, keys, "left")
-               .where(F.when(clash, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-               .select(*batch.columns))
-    return target.unionByName(checked)
+    return (batch.withColumn("_copies", copies).join(taken, keys, "left")
+            .where(F.when(clash, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+            .select(*batch.columns))
+
+
+def unique_append(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Appends the batch; a key that occurs twice or is already stored stops the job."""
+    return target.unionByName(_all_new(target, batch, keys))
+
+
+def _same_days(path: str, dated: DataFrame) -> DataFrame | None:
+    """Stored rows of the days of the batch; None if nothing is stored yet."""
+    try:
+        current = dated.sparkSession.read.schema(dated.schema).parquet(path)
+        return current.join(dated.select("date").distinct(), "date", "left_semi")
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+
+
+def write_append(path: str, batch: DataFrame, keys: list[str], time: str) -> None:
+    """``unique_append`` on a stored table: only the batch is written, and nothing of it if a key is taken.
+
+    ``time`` is one of ``keys``, so only the days of the batch are read. One writer at a time.
+    """
+    dated = batch.withColumn("date", F.date_format(time, "yyyy-MM-dd"))
+    current = _same_days(path, dated)
+    checked = stored(_all_new(dated.limit(0) if current is None else current, dated, [*keys, "date"]), "append")
+    checked.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
 
 
 def write_upsert(path: str, batch: DataFrame, keys: list[str], order: list[str], time: str) -> None:
@@ -100,17 +126,8 @@ def write_upsert(path: str, batch: DataFrame, keys: list[str], order: list[str],
     The merged days are first written in full to the scratch folder, so a job that dies
     while replacing them leaves a complete copy behind. One writer at a time.
     """
-    spark = batch.sparkSession
     dated = batch.withColumn("date", F.date_format(time, "yyyy-MM-dd"))
-    try:
-        current = spark.read.schema(dated.schema).parquet(path)
-        days = dated.select("date").distinct()
-        current = current.join(days, "date", "left_semi")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        current = None
-    merged = stored(upsert_latest(current, dated, [*keys, "date"], order), "upsert")
+    merged = stored(upsert_latest(_same_days(path, dated), dated, [*keys, "date"], order), "upsert")
     (merged.hint("rebalance", "date").sortWithinPartitions("date", *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(path))

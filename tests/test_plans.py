@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.operators import models
-from lotwise.plans import dashboard, forecast, online, training
+from lotwise.plans import dashboard, forecast, online, store, training
 from lotwise.plans.fixtures import Views
 from lotwise.schemas import LOT
 
@@ -74,7 +74,7 @@ def test_last_hour_transformation(spark, tmp_path):
     assert online.transform_last_hour(v.minute, v.weather, hourly, features, "2031-01-01 00:05:00") == []
 
 
-def test_hybrid_forecast_and_dashboard(spark):
+def test_hybrid_forecast_and_dashboard(spark, tmp_path):
     v = Views(spark, "/root/testdata/sf0.001")
     base = dt.datetime(2024, 1, 1)
     rng = np.random.default_rng(4)
@@ -94,6 +94,21 @@ def test_hybrid_forecast_and_dashboard(spark):
     assert out.count() == 48 and wide.count() == 2 and summary.count() == 2
     assert out.where(f"{LOT} = 2").agg(F.max("predicted_free_spaces")).first()[0] <= 25
     assert wide.first().confidence_score == 0.92
+    # A saved forecaster, read back, gives the same forecast; forecasts are stored once and checked later.
+    kept, rows_path, wide_path = (str(tmp_path / name) for name in ("model", "rows", "wide"))
+    store.save_hybrid(spark, hybrid, kept)
+    again = forecast.forecast(features, store.load_hybrid(spark, kept), lots, "hybrid_linear_forest")[0]
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
+    store.store_forecast(out, wide, rows_path, wide_path)
+    with pytest.raises(Exception, match="duplicate key"):
+        store.store_forecast(out, wide, rows_path, wide_path)
+    assert spark.read.parquet(rows_path).count() == 48 and spark.read.parquet(wide_path).count() == 2
+    later = hourly.withColumn("hour_timestamp", F.expr("hour_timestamp + interval 12 hours"))
+    for _ in range(2):
+        store.store_actuals(spark, rows_path, str(tmp_path / "checked"), later, "2024-01-12 00:00:00")
+    checked = spark.read.parquet(str(tmp_path / "checked"))
+    assert checked.count() == 24 and checked.where("absolute_error is null").isEmpty()
+    assert checked.schema["prediction_error"].dataType.simpleString() == "decimal(10,2)"
     minute = hourly.select(LOT, F.col("hour_timestamp").alias("minute_timestamp"), F.lit(5).cast("long").alias("free_spaces"),
                            F.lit(20).cast("long").alias("occupied_spaces"), F.lit(25).cast("long").alias("total_spaces"),
                            F.lit(80.0).alias("occupancy_rate"), F.lit(None).cast("string").alias("parking_lot_name"))
