@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.catalog.entry import Entry
-from lotwise.catalog.oracle import filled, labels, model_code, model_label
+from lotwise.catalog.oracle import (MODEL_CODES, MODEL_LABELS, ONLINE_LABELS, TRAINING_LABELS, WEATHER_NAMES, columns,
+                                    filled)
 from lotwise.operators import blending, categories, features, joins, rollups, supervised
 from lotwise.plans.fixtures import Views
-from lotwise.schemas import (AVAILABILITY, AVAILABILITY_OTHERWISE, HYBRID_FEATURES, LAG_ROWS, LOT, MODEL_FEATURES,
-                             MODEL_VOCABULARY, MOVING_AVERAGE_ROWS, ONLINE_CATEGORIES, TRAINING_CATEGORIES, TREND_ROWS,
-                             WEATHER_CODES)
+from lotwise.schemas import HYBRID_FEATURES, LAG_ROWS, LOT, MODEL_FEATURES, MODEL_VOCABULARY, MOVING_AVERAGE_ROWS, TREND_ROWS
 from lotwise.session import stored
 
 _HOUR = "parking_lot_id:i hour_timestamp:t"
@@ -101,11 +100,10 @@ def _scaled(v: Views) -> DataFrame:
         LOT, "position", F.col("z.window").alias("scaled"), F.col("z.low").alias("low"), F.col("z.high").alias("high"))
 
 
-_CODES = ", ".join(f"({code}, '{text}')" for code, text in WEATHER_CODES.items())
-_CLASS = "case " + " ".join(f"when probability >= {p} then '{label}'" for p, label, _ in AVAILABILITY) + \
-    f" else '{AVAILABILITY_OTHERWISE[0]}' end"
-_COLOR = "case " + " ".join(f"when probability >= {p} then '{c}'" for p, _, c in AVAILABILITY) + \
-    f" else '{AVAILABILITY_OTHERWISE[1]}' end"
+_CLASS = """case when probability >= 0.5 then 'Very High' when probability >= 0.3 then 'High' when probability >= 0.15 then 'Low'
+            else 'Very Low' end"""
+_COLOR = """case when probability >= 0.5 then '#2ecc71' when probability >= 0.3 then '#f1c40f' when probability >= 0.15 then '#e67e22'
+            else '#e74c3c' end"""
 
 ENTRIES = {
     "training_join": Entry(
@@ -127,16 +125,16 @@ ENTRIES = {
     "categories_training": Entry(
         f"{_HOUR} {_LABELS}",
         lambda v: categories.categories_training(joins.training_join(rollups.calendar_fields(v.hourly), v.weather)),
-        f"select parking_lot_id, hour_timestamp, {labels(TRAINING_CATEGORIES)} "
+        f"select parking_lot_id, hour_timestamp, {TRAINING_LABELS} "
         "from hourly_calendar join weather_hourly using (hour_timestamp)"),
     "categories_online": Entry(
         f"{_HOUR} {_LABELS}",
         lambda v: categories.categories_online(joins.weather_left_join(rollups.calendar_fields(v.hourly), v.weather)),
-        f"select parking_lot_id, hour_timestamp, {labels(ONLINE_CATEGORIES)} "
+        f"select parking_lot_id, hour_timestamp, {ONLINE_LABELS} "
         "from hourly_calendar left join weather_hourly using (hour_timestamp)"),
     "categories_to_model": Entry(
         f"{_HOUR} {_LABELS}", lambda v: categories.categories_to_model(v.online),
-        f"select parking_lot_id, hour_timestamp, {', '.join(f'{model_label(c)} {c}' for c in MODEL_VOCABULARY)} from online"),
+        f"select parking_lot_id, hour_timestamp, {columns(MODEL_LABELS)} from online"),
     "availability_category": Entry(
         "event_id:i probability:d availability_category:s availability_color:s",
         lambda v: categories.availability_category(
@@ -147,7 +145,7 @@ ENTRIES = {
         "hour_timestamp:t weather_code:i weather_description:s",
         lambda v: categories.weather_code_description(v.weather),
         f"""select w.*, coalesce(d.label, 'Unknown') weather_description
-            from weather_hourly w left join (values {_CODES}) d(code, label) on d.code = w.weather_code"""),
+            from weather_hourly w left join {WEATHER_NAMES} on d.code = w.weather_code"""),
     "weekday_labels": Entry(
         f"{_HOUR} weekday_type:s weekday_label:s weekday_order:i", lambda v: categories.weekday_labels(v.training),
         """select parking_lot_id, hour_timestamp, dayname(hour_timestamp) weekday_label, isodow(hour_timestamp) weekday_order,
@@ -223,7 +221,8 @@ ENTRIES = {
     "ordinal_encode": Entry(
         f"{_HOUR} {_kinds(MODEL_VOCABULARY, 'i')}",
         lambda v: supervised.ordinal_encode(categories.categories_to_model(v.online)),
-        f"select parking_lot_id, hour_timestamp, {', '.join(f'{model_code(c)} {c}' for c in MODEL_VOCABULARY)} from model_rows"),
+        f"select parking_lot_id, hour_timestamp, {columns(MODEL_CODES)} "
+        f"from (select parking_lot_id, hour_timestamp, {columns(MODEL_LABELS)} from online)"),
     "minmax_per_timestep": Entry(
         "parking_lot_id:i position:i low:d high:d scaled:d", _scaled,
         f"""with long as (

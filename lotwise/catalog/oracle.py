@@ -10,15 +10,62 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise.functions.values import labelled
 from lotwise.plans.fixtures import AS_OF
-from lotwise.schemas import BLEND_WEIGHTS, MODEL_ALIASES, MODEL_VOCABULARY, ONLINE_CATEGORIES, TRAINING_CATEGORIES
+from lotwise.schemas import BLEND_WEIGHTS, MODEL_VOCABULARY
 
 NOW = f"timestamp '{AS_OF}'"
 
 
-def labels(rules: dict) -> str:
-    return ", ".join(f"{labelled(*rule)} {name}" for name, rule in rules.items())
+# Labels, codes and classes, written out here once more, so that a wrong threshold of the library shows (fixed values).
+TRAINING_LABELS = """
+    case when day_of_week = 0 or day_of_week = 6 then 'Weekend' else 'Weekday' end day_type,
+    case when hour_of_day >= 6 and hour_of_day < 10 then 'Morning Rush' when hour_of_day >= 10 and hour_of_day < 17 then 'Daytime'
+         when hour_of_day >= 17 and hour_of_day < 20 then 'Evening Rush' when hour_of_day >= 20 then 'Evening'
+         else 'Night' end time_period,
+    case when temperature_2m < 0 then 'Freezing' when temperature_2m >= 0 and temperature_2m <= 10 then 'Cold'
+         when temperature_2m >= 11 and temperature_2m <= 20 then 'Mild'
+         when temperature_2m >= 21 and temperature_2m <= 30 then 'Warm' else 'Hot' end temperature_category,
+    case when precipitation = 0 then 'No Rain' when precipitation <= 2.5 then 'Light Rain'
+         when precipitation <= 10 then 'Moderate Rain' else 'Heavy Rain' end precipitation_category"""
+
+ONLINE_LABELS = """
+    case when day_of_week = 0 or day_of_week = 6 then 'weekend' else 'weekday' end day_type,
+    case when hour_of_day >= 6 and hour_of_day < 12 then 'morning' when hour_of_day >= 12 and hour_of_day < 18 then 'afternoon'
+         when hour_of_day >= 18 and hour_of_day < 23 then 'evening' else 'night' end time_period,
+    case when temperature_2m < 0 then 'freezing' when temperature_2m <= 10 then 'cold' when temperature_2m <= 20 then 'mild'
+         else 'warm' end temperature_category,
+    case when precipitation = 0 then 'none' when precipitation < 2.5 then 'light' when precipitation < 10 then 'moderate'
+         else 'heavy' end precipitation_category"""
+
+MODEL_LABELS = {
+    "day_type": "case trim(day_type) when 'weekend' then 'Weekend' when 'Weekend' then 'Weekend' else 'Weekday' end",
+    "time_period": """case when trim(time_period) in ('morning', 'afternoon', 'evening', 'night') then trim(time_period)
+                      else 'morning' end""",
+    "temperature_category": """case when trim(temperature_category) in ('cold', 'cool', 'moderate', 'warm', 'hot')
+                               then trim(temperature_category) else 'cold' end""",
+    "precipitation_category": """case trim(precipitation_category) when 'light' then 'light_rain' when 'light_rain' then 'light_rain'
+                                 when 'moderate' then 'moderate_rain' when 'moderate_rain' then 'moderate_rain'
+                                 when 'heavy' then 'heavy_rain' when 'heavy_rain' then 'heavy_rain' else 'no_rain' end""",
+}
+
+MODEL_CODES = {
+    "day_type": "case day_type when 'Weekday' then 0::double when 'Weekend' then 1 end",
+    "time_period": "case time_period when 'morning' then 0::double when 'afternoon' then 1 when 'evening' then 2 when 'night' then 3 end",
+    "temperature_category": """case temperature_category when 'cold' then 0::double when 'cool' then 1 when 'moderate' then 2
+                               when 'warm' then 3 when 'hot' then 4 end""",
+    "precipitation_category": """case precipitation_category when 'no_rain' then 0::double when 'light_rain' then 1
+                                 when 'moderate_rain' then 2 when 'heavy_rain' then 3 end""",
+}
+
+WEATHER_NAMES = """(values (0, 'Clear'), (1, 'Mainly Clear'), (2, 'Partly Cloudy'), (3, 'Overcast'), (45, 'Fog'),
+    (48, 'Depositing Rime Fog'), (51, 'Light Drizzle'), (53, 'Moderate Drizzle'), (55, 'Dense Drizzle'), (61, 'Slight Rain'),
+    (63, 'Moderate Rain'), (65, 'Heavy Rain'), (71, 'Slight Snow'), (73, 'Moderate Snow'), (75, 'Heavy Snow'),
+    (80, 'Slight Showers'), (81, 'Moderate Showers'), (82, 'Violent Showers'), (95, 'Thunderstorm'),
+    (96, 'Thunderstorm with Hail'), (99, 'Thunderstorm with Heavy Hail')) d(code, label)"""
+
+
+def columns(parts: dict[str, str]) -> str:
+    return ", ".join(f"{sql} as {name}" for name, sql in parts.items())
 
 
 CALENDAR = ("cast(extract(hour from hour_timestamp) as int) hour_of_day, dayofweek(hour_timestamp) day_of_week, "
@@ -31,18 +78,6 @@ _ALPHA_ROWS = ", ".join(f"({lot}, {h}, {a}::double)" for lot in range(4)
                         for h, a in enumerate(_EVEN if lot % 2 == 0 else _ODD, 1))
 
 
-def model_label(name: str) -> str:
-    alias = MODEL_ALIASES.get(name, {})
-    tests = " ".join(f"when trim({name}) = '{a}' then '{b}'" for a, b in alias.items())
-    own = " ".join(f"when trim({name}) = '{v}' then '{v}'" for v in MODEL_VOCABULARY[name])
-    return f"case {tests} {own} else '{MODEL_VOCABULARY[name][0]}' end"
-
-
-def model_code(name: str) -> str:
-    tests = " ".join(f"when '{v}' then {i}" for i, v in enumerate(MODEL_VOCABULARY[name]))
-    return f"cast(case {name} {tests} end as double)"
-
-
 _GAPPY = ["avg_free_spaces", "min_free_spaces", "max_free_spaces", "free_spaces_range", "hour_of_day", "day_of_week",
           "day_of_month", "calendar_week", "temperature_2m", "relative_humidity_2m", "precipitation",
           "avg_free_spaces_rolling_24h", "avg_free_spaces_std_24h", "avg_free_spaces_diff_1h", "temperature_diff_1h"]
@@ -115,7 +150,7 @@ CTES = {
         select parking_lot_id, hour_timestamp, avg_free_spaces free_spaces, (100 - avg_free_spaces) / 100 occupancy_rate,
                hour_of_day, day_of_week from hourly_calendar""",
     "training": f"""
-        select *, {labels(TRAINING_CATEGORIES)}
+        select *, {TRAINING_LABELS}
         from hourly_calendar join (select hour_timestamp, temperature_2m, relative_humidity_2m, precipitation
                                    from weather_hourly) using (hour_timestamp)""",
     "online_weather": """
@@ -123,7 +158,7 @@ CTES = {
         from hourly_calendar h left join weather_hourly w
              on date_trunc('hour', h.hour_timestamp) = date_trunc('hour', w.hour_timestamp)""",
     "online": f"""
-        select c.*, {labels(ONLINE_CATEGORIES)},
+        select c.*, {ONLINE_LABELS},
                (select avg(p.avg_free_spaces) from hourly_base p where p.parking_lot_id = c.parking_lot_id
                 and p.hour_timestamp > c.hour_timestamp - interval 24 hour
                 and p.hour_timestamp <= c.hour_timestamp) avg_free_spaces_rolling_24h,
@@ -150,11 +185,11 @@ CTES = {
         from lot_hours""",
     "labelled_hours": f"""
         select * replace ({', '.join(f'coalesce(own_{c}, {c}) as {c}' for c in MODEL_VOCABULARY)})
-        from (select *, {labels(ONLINE_CATEGORIES)} from filled_hours)""",
+        from (select *, {ONLINE_LABELS} from filled_hours)""",
     "model_rows": f"""
-        select * replace ({', '.join(f'{model_label(c)} as {c}' for c in MODEL_VOCABULARY)}) from labelled_hours""",
+        select * replace ({columns(MODEL_LABELS)}) from labelled_hours""",
     "model_frame": f"""
-        select * replace ({', '.join(f'{model_code(c)} as {c}' for c in MODEL_VOCABULARY)}) from model_rows""",
+        select * replace ({columns(MODEL_CODES)}) from model_rows""",
     "pair": """
         select g.parking_lot_id, g.origin, g.horizon, g.origin + to_hours(g.horizon) target_hour,
                a.avg_free_spaces model_a, b.avg_free_spaces model_b

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.catalog.entry import Entry
-from lotwise.catalog.oracle import NOW
+from lotwise.catalog.oracle import NOW, WEATHER_NAMES
 from lotwise.operators import blending, explore, models, monitoring, serving, supervised
 from lotwise.plans.fixtures import AS_OF, Views
-from lotwise.schemas import AVAILABILITY_OTHERWISE, HORIZON_HOURS, LOT, TEMPERATURE_LABELS, WEATHER_CODES
+from lotwise.schemas import HORIZON_HOURS, LOT, TEMPERATURE_LABELS
 from lotwise.session import stored
 
 _FORECAST = "parking_lot_id:i prediction_made_at:t target_hour:t hours_ahead:i"
 _COLOR = "case availability_category when 'Very High' then '#2ecc71' when 'High' then '#f1c40f' " \
-         f"when 'Low' then '#e67e22' else '{AVAILABILITY_OTHERWISE[1]}' end"
-_CODES = ", ".join(f"({code}, '{text}')" for code, text in WEATHER_CODES.items())
+         "when 'Low' then '#e67e22' else '#e74c3c' end"
 _COLUMNS = ["avg_free_spaces", "temperature_2m", "relative_humidity_2m", "precipitation"]
 _WEATHER = _COLUMNS[1:]
 
@@ -282,7 +281,7 @@ ENTRIES = {
             from (select * from weather_hourly where hour_timestamp >= date_trunc('hour', {NOW})
                   and hour_timestamp < date_trunc('day', {NOW} + interval 24 hour) + interval 1 day
                   order by hour_timestamp limit 24) w
-            left join (values {_CODES}) d(code, label) on d.code = w.weather_code"""),
+            left join {WEATHER_NAMES} on d.code = w.weather_code"""),
     "latest_weather": Entry(
         "hour_timestamp:t temperature_2m:d relative_humidity_2m:d precipitation:d weather_code:i",
         lambda v: serving.latest_weather(v.weather),
