@@ -15,7 +15,7 @@ from lotwise.plans.forecast import forecast, train_hybrid
 from lotwise.plans.online import transform_last_hour
 from lotwise.plans.store import load_hybrid, save_hybrid, store_forecast
 from lotwise.plans.training import load_operations, load_weather, prepare_training_data
-from lotwise.session import build_session
+from lotwise.session import build_session, clear_scratch
 
 
 _ARGUMENTS = {
@@ -51,6 +51,7 @@ def main() -> None:
     else:
         rows, wide, _ = forecast(table(args.features).drop("date"), load_hybrid(spark, args.model), table(args.lots), args.name)
         store_forecast(rows, wide, args.rows, args.wide)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -247,9 +247,9 @@ ENTRIES = {
               select parking_lot_id, origin, timestep, [{', '.join(MODEL_FEATURES)}] xs from ({_PADDED})) p,
             lateral (select unnest(range(0, 20)) i, unnest(xs) x) u"""),
     "align_features": Entry(
-        f"{_HOUR} {_kinds([c for c in HYBRID_FEATURES if c != 'is_weekend'], 'd')} missing_feature_0:d",
+        f"{_HOUR} {_kinds(HYBRID_FEATURES, 'd')}",
         lambda v: supervised.align_features(features.hybrid_features(v.series)),
-        "select *, 0 missing_feature_0, " + ", ".join(
+        "select *, case when day_of_week = 0 or day_of_week = 6 then 1 else 0 end is_weekend, " + ", ".join(
             [f"avg(free_spaces) {_W} rows between {n - 1} preceding and current row) free_spaces_ma_{n}" for n in MOVING_AVERAGE_ROWS]
             + [f"lag(free_spaces, {n}) {_W}) free_spaces_lag_{n}" for n in LAG_ROWS]
             + [f"free_spaces - lag(free_spaces, {n}) {_W}) trend_{n}h" for n in TREND_ROWS]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from lotwise.functions.clock import DAY, HOUR
 from lotwise.operators.frames import carried, join_per_lot, over_rows, over_time
-from lotwise.schemas import LAG_ROWS, LOT, MOVING_AVERAGE_ROWS, TREND_ROWS
+from lotwise.schemas import LAG_ROWS, LOT, MOVING_AVERAGE_ROWS, TREND_ROWS, WEEKEND_DAYS
 
 TS = "hour_timestamp"
 _MICROS = 1_000_000
@@ -92,9 +92,10 @@ def trend_features(df: DataFrame) -> DataFrame:
 
 
 def hybrid_features(df: DataFrame) -> DataFrame:
-    """Moving averages, lags and trends in one pass, plus cyclic time."""
-    return cyclic_time(over_rows(df, TS, lambda w: {**_moving_averages(w), **_lags(w), **_trends(w)},
-                                 before=max(LAG_ROWS)))
+    """Moving averages, lags and trends in one pass, plus cyclic time and ``is_weekend`` as 0 or 1."""
+    timed = cyclic_time(over_rows(df, TS, lambda w: {**_moving_averages(w), **_lags(w), **_trends(w)},
+                                  before=max(LAG_ROWS)))
+    return timed.withColumn("is_weekend", F.col("day_of_week").isin(*WEEKEND_DAYS).cast("int"))
 
 
 def cyclic_time(df: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_used: list[str] = []   # scratch folders of this process
+
+
 def build_session(app: str = "lotwise", master: str | None = None, **conf: object) -> SparkSession:
     """A session with UTC timestamps and adaptive execution.
 
@@ -47,7 +50,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the scratch root that no earlier run has used."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _used.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch folders that this process has asked for; called when a job has written its results.
+
+    Frames that were read back from them can no longer be used.
+    """
+    while _used:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_used.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

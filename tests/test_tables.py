@@ -1,11 +1,15 @@
 """Insert rules and stored tables."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 
 from lotwise.sources import tables
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 KEYS = ["parking_lot_id", "minute_timestamp"]
 SCHEMA = "parking_lot_id int, minute_timestamp timestamp, v int, seq long"
 
@@ -70,3 +74,18 @@ def test_stored_types(spark):
     got = tables.as_stored(df)
     assert got.schema["avg_free_spaces"].dataType.simpleString() == "decimal(10,2)"
     assert str(got.first().avg_free_spaces) == "2.35"
+
+
+def test_scratch_folders_are_removed(tmp_path):
+    """In a process of its own, for others still read their scratch folders."""
+    code = f"""
+import os, sys
+sys.path.insert(0, {ROOT!r})
+from lotwise.session import build_session, clear_scratch, stored
+spark = build_session("scratch", "local[1]", **{{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+others = os.listdir({str(tmp_path)!r})
+assert stored(spark.range(3), "a").count() == 3 and len(os.listdir({str(tmp_path)!r})) == len(others) + 1
+clear_scratch(spark)
+assert sorted(os.listdir({str(tmp_path)!r})) == sorted(others)
+"""
+    assert subprocess.run([sys.executable, "-c", code], timeout=120).returncode == 0
