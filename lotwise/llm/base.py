@@ -42,6 +42,7 @@ def annotated(docs: DataFrame, keep: list[str], compute, fields: str, text: str
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in passed] + compute(batch.column("_text")), names)
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks; its buffers need not
 
     out = inner.mapInArrow(run, schema)
     place = {k: f"_{i}" for i, k in enumerate(others)} | {text: "_text"}

@@ -1,6 +1,6 @@
 """Byte-level helpers for task functions: texts as one buffer, word borders, word hashes.
 
-All of it is vectorised numpy over a few megabytes at a time; one text longer than that is a slice
+All of it is vectorised numpy over about a megabyte at a time; one text longer than that is a slice
 of its own, so memory follows the longest text, never the number of rows.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _P1, _P2 = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
