@@ -44,10 +44,10 @@ def shingle_hashes(column: pa.Array, size: int):
         folded = fold[texts.data]
         words = words_of(texts, flags)
         hashes = Hasher(folded)(words.starts, words.ends)
-        # Shingle at each word: a polynomial over the next words' hashes.
+        # Shingle at each word: a polynomial over the next words' hashes; a slice may hold fewer words than a shingle.
         n = len(hashes)
         rolled = np.zeros(n, _U)
-        for j in range(size):
+        for j in range(min(size, n)):
             rolled[:n - j] += scramble(hashes[j:] + _U(j + 1)) * _U((2 * j + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
         rolled = scramble(rolled)
         for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):

@@ -68,6 +68,19 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert got == {k: (len(sets[k]), want[k], want[k] == k) for k in want}
 
 
+@pytest.mark.parametrize("size,short", [(4, "a b"), (4, "a b c"), (5, "a b"), (5, "a b c"), (5, "a b c d")])
+def test_short_texts_alone_in_a_slice(spark, size, short):
+    """As the only row, and before and after a text of more than a slice, a text shorter than a shingle is one shingle."""
+    alone = spark.createDataFrame([(1, short)], "doc_id long, text string")
+    assert [tuple(r) for r in neardup.near_duplicates(alone, size).collect()] == [(1, 1, 1, True)]
+    words = [f"w{k}" for k in range(1 << 18)]
+    texts = [short, " ".join(words), short.upper()]
+    assert len(texts[1]) > 1 << 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = sorted(tuple(r) for r in neardup.near_duplicates(docs, size).collect())
+    assert got == [(0, 1, 0, True), (1, len(words) - size + 1, 1, True), (2, 1, 0, False)]
+
+
 def test_near_duplicates_with_repeated_and_missing_ids(spark):
     one, two, three = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30)), " ".join(f"c{k}" for k in range(30))
     docs = spark.createDataFrame([(1, one), (2, one), (2, two), (5, two), (7, three), (None, three), (None, None)], "doc_id long, text string")
