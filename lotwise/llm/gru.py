@@ -1,7 +1,8 @@
 """A gated recurrent language model in numpy: class-factored softmax, truncated backpropagation, carried state.
 
-Frequent words have a number, by frequency; ``MEMBERS`` neighbours form a class. All other words are one further class,
-in which a word's share comes from its count. Documents are dealt to lanes that run side by side; a lane's state
+Frequent words have a number, by frequency; numbers from ``REST`` on stand for groups of rarer words, in which a word's
+share comes from its count. ``MEMBERS`` neighbouring numbers form a class, so every word has an input vector and a
+probability that depends on the state. Documents are dealt to lanes that run side by side; a lane's state
 is set to zero where a document begins and is carried over all windows of the document.
 """
 
@@ -13,23 +14,45 @@ import numpy as np
 
 CLASSES, MEMBERS = 16, 64
 FREQUENT = CLASSES * MEMBERS
-REST, START = FREQUENT, FREQUENT + 1   # input numbers of other words, and of nothing before
+REST, START = FREQUENT, -1   # number of the first group of other words; input number of nothing before
 STATE, LANES, WINDOW = 8, 256, 32
+NEVER = -1e9   # bias of numbers behind the last group
 _F = np.float32
 
 
-def initial(counts: np.ndarray, total: int, seed: int = 3) -> dict[str, np.ndarray]:
-    """Small random weights; the biases start from the frequencies ``counts`` of the numbered words."""
+def initial(counts: np.ndarray, total: int, rest: np.ndarray | None = None, seed: int = 3) -> dict[str, np.ndarray]:
+    """Small random weights; the biases start from the frequencies ``counts`` of the frequent words and ``rest`` of the
+    groups of others, by default a single one."""
+    rest = np.array([max(total - counts.sum(), 0)]) if rest is None else rest
+    classes_of_rest = -(-len(rest) // MEMBERS)
     draw = np.random.default_rng(seed)
     small = lambda *shape: draw.normal(0, 0.1, shape).astype(_F)
-    held = np.zeros(FREQUENT)
+    held = np.zeros((CLASSES + classes_of_rest) * MEMBERS)
     held[:len(counts)] = counts
-    by_class = held.reshape(CLASSES, MEMBERS)
-    classes = np.append(by_class.sum(1), max(total - held.sum(), 0)) + 0.5
+    held[REST:REST + len(rest)] = rest
+    by_class = held.reshape(-1, MEMBERS)
+    classes = by_class.sum(1) + 0.5
     words = by_class + 1e-3
-    return {"input": small(FREQUENT + 2, 3 * STATE), "state": small(STATE, 3 * STATE), "to_class": small(STATE, CLASSES + 1),
-            "class_bias": np.log(classes / classes.sum()).astype(_F), "to_word": small(CLASSES, STATE, MEMBERS),
-            "word_bias": np.log(words / words.sum(1, keepdims=True)).astype(_F)}
+    words.ravel()[REST + len(rest):] = 0
+    with np.errstate(divide="ignore"):
+        bias = np.maximum(np.log(words / words.sum(1, keepdims=True)), NEVER)
+    w = {"input": small(len(held) + 1, 3 * STATE), "state": small(STATE, 3 * STATE), "to_class": small(STATE, len(by_class)),
+         "class_bias": np.log(classes / classes.sum()).astype(_F), "to_word": small(len(by_class), STATE, MEMBERS),
+         "word_bias": bias.astype(_F)}
+    # The groups of other words start as one and grow apart as they are learned.
+    w["input"][REST:-1], w["to_class"][:, CLASSES:], w["to_word"][CLASSES:] = w["input"][REST], w["to_class"][:, CLASSES:CLASSES + 1], 0
+    return w
+
+
+def smoothed(weights: dict[str, np.ndarray], before: np.ndarray, after: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights whose biases follow the counts ``after`` of the groups of other words in place of ``before``."""
+    if not before.sum():
+        return weights
+    x, y = (np.append(v, np.zeros(-len(v) % MEMBERS)).reshape(-1, MEMBERS) for v in (before, after))
+    w = {k: v.copy() for k, v in weights.items()}
+    w["class_bias"][CLASSES:] += np.log(y.sum(1) / x.sum(1))
+    w["word_bias"][CLASSES:][x > 0] += np.log(y[x > 0] / x[x > 0])
+    return w
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -55,9 +78,17 @@ def lanes(lengths: np.ndarray, most: int = LANES) -> list[list[int]]:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray, chosen: np.ndarray, back: bool) -> np.ndarray:
+    """Log-probability of the chosen place of each row; on request ``x`` becomes the gradient of their sum."""
+    each = np.arange(len(x))
+    x -= x.max(1, keepdims=True)
+    out = x[each, chosen]
+    np.exp(x, out=x)
+    total = x.sum(1)
+    if back:
+        x /= -total[:, None]
+        x[each, chosen] += 1
+    return out - np.log(total)
 
 
 def _forward(w, inputs, fresh, state):
@@ -79,30 +110,28 @@ def _forward(w, inputs, fresh, state):
 
 
 def _outputs(w, states, targets, back: bool):
-    """Log-probability of each target (of the class alone for other words); on request the gradients of their sum."""
-    n = len(targets)
-    group = np.minimum(targets // MEMBERS, CLASSES)
-    logs = _log_softmax(states @ w["to_class"] + w["class_bias"])
-    out = logs[np.arange(n), group].astype(np.float64)
+    """Log-probability of each target number; on request the gradients of their sum."""
+    group = targets // MEMBERS
+    d = states @ w["to_class"] + w["class_bias"]
+    out = _softmax(d, group, back).astype(np.float64)
     grads, pull = {}, None
     if back:
-        d = -np.exp(logs)
-        d[np.arange(n), group] += 1
         grads = {"to_class": states.T @ d, "class_bias": d.sum(0), "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
         pull = d @ w["to_class"].T
     order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        mine = order[ends[c]:ends[c + 1]]
-        if len(mine):
-            held, member = states[mine], targets[mine] - c * MEMBERS
-            logs = _log_softmax(held @ w["to_word"][c] + w["word_bias"][c])
-            out[mine] += logs[np.arange(len(mine)), member]
-            if back:
-                d = -np.exp(logs)
-                d[np.arange(len(mine)), member] += 1
-                grads["to_word"][c], grads["word_bias"][c] = held.T @ d, d.sum(0)
-                pull[mine] += d @ w["to_word"][c].T
+    held, member = states[order], (targets % MEMBERS)[order]
+    logs, pulls = np.empty(len(targets), states.dtype), np.empty_like(states)
+    ends = np.searchsorted(group[order], np.arange(len(w["to_word"]) + 1))
+    for c in np.flatnonzero(np.diff(ends)).tolist():
+        mine = slice(ends[c], ends[c + 1])
+        d = held[mine] @ w["to_word"][c] + w["word_bias"][c]
+        logs[mine] = _softmax(d, member[mine], back)
+        if back:
+            grads["to_word"][c], grads["word_bias"][c] = held[mine].T @ d, d.sum(0)
+            pulls[mine] = d @ w["to_word"][c].T
+    out[order] += logs
+    if back:
+        pull[order] += pulls
     return out, grads, pull
 
 
@@ -151,7 +180,7 @@ def _windows(docs: list[np.ndarray], most: int = LANES):
 
 
 def log_probabilities(w: dict[str, np.ndarray], docs: list[np.ndarray]) -> np.ndarray:
-    """Natural log-probability of each document's words, of other words their class alone."""
+    """Natural log-probability of each document's numbers."""
     out, state = np.zeros(len(docs)), None
     for owner, inputs, targets, fresh in _windows(docs) if docs else ():
         state = np.zeros((inputs.shape[1], STATE), _F) if state is None else state

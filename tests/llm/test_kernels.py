@@ -57,3 +57,16 @@ def test_state_is_carried_over_windows():
     together = gru.log_probabilities(w, docs)
     alone = [gru.log_probabilities(w, [d])[0] for d in docs]
     assert np.allclose(together, alone, rtol=1e-5)
+
+
+def test_every_group_of_other_words_learns():
+    """Rarer words are more than one number: a model of two groups learns which of them follows which word."""
+    w = gru.initial(np.full(gru.FREQUENT, 10.0), 0, np.full(70, 10.0))
+    assert np.isclose(np.exp(gru._outputs(w, np.zeros((70, gru.STATE), np.float32), gru.REST + np.arange(70), False)[0]).sum(), 700 / 10940, rtol=1e-3)
+    docs = [np.array([1, gru.REST, 2, gru.REST + 69] * 20, np.int32)] * 60
+    trainer = gru.Trainer(w, 0.02)
+    for _ in range(200):
+        trainer.learn(docs)
+    swapped = np.array([1, gru.REST + 69, 2, gru.REST] * 20, np.int32)
+    right, wrong = gru.log_probabilities(trainer.w, [docs[0], swapped])
+    assert right > wrong + 40
