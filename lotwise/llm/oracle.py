@@ -87,3 +87,61 @@ pairs as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[
     from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 20"""
+
+
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+EXACT_DEDUP = f"""
+with rows as (select doc_id, {_LOWERED.format("coalesce(text, '')")} as t from documents),
+groups as (select t, max(doc_id) as keep_id, count(*) as group_size from rows group by t)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, sha256(t) as text_sha256 from rows join groups using (t)"""
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, byte by byte."""
+    step = "case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end"
+    return (f"xor(4294967295::bigint, list_reduce([4294967295::bigint] || [ascii(x)::bigint for x in string_split({text}, '')], "
+            f"lambda a, b: list_reduce([xor(a, b)] || [0::bigint for x in range(8)], lambda c, k: {step})))")
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of the trees ``{name}0`` (tree, place, h): digests, and the siblings of each node from left to right.
+
+    A tree of one node is complete and stays as it is.
+    """
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{name}_run{k} as (select *, place // 16 as up, count(*) over (partition by tree) as nodes from {name}{k}),
+{name}{k + 1} as (select tree, up as place, case when min(nodes) = 1 then min(h) else sha256(string_agg(h, '' order by place)) end as h
+    from {name}_run{k} group by tree, up),
+{name}_side{k} as (select a.tree, a.place, a.nodes > 1 as moves, coalesce(string_agg(b.h, '' order by b.place) filter (b.place < a.place), '') as l,
+    coalesce(string_agg(b.h, '' order by b.place) filter (b.place > a.place), '') as r
+    from {name}_run{k} a join {name}_run{k} b on a.tree = b.tree and a.up = b.up group by a.tree, a.place, a.nodes)""")
+    return ",".join(out)
+
+
+def merkle_manifest(levels: int = 5, top: int = 3) -> str:
+    """Up to 16 ** levels rows of a source, and 16 ** top sources."""
+    def leaf(text: str) -> str:
+        fields = ["doc_id::varchar", "source", "lang", "n_chars::varchar", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+    joins = " ".join(f"left join inner_side{k} i{k} on i{k}.tree = n.tree and i{k}.place = n.place // {16 ** k}" for k in range(levels))
+    joins += " join outer0 o on o.source_tree = n.tree " + " ".join(f"left join outer_side{k} o{k} on o{k}.place = o.place // {16 ** k}" for k in range(top))
+    sides = [f"i{k}" for k in range(levels)] + [f"o{k}" for k in range(top)]
+    proof = " || ".join(f"case when {s}.moves then {s}.l || {s}.r else '' end" for s in sides)
+    folds, previous = [], "claimed"
+    for k, s in enumerate(sides):
+        folds.append(f"folded{k} as (select *, case when {s}.moves then sha256({s}.l || {previous} || {s}.r) else {previous} end as f{k} "
+                     f"from {'path' if not k else f'folded{k - 1}'})")
+        previous = f"f{k}"
+    return f"""
+with coded as (select doc_id, coalesce('s' || source, '') as tree, {leaf('text')} as leaf,
+    case when {crc32('doc_id::varchar')} % 5 = 0 then {leaf(_LOWERED.format('text'))} else {leaf('text')} end as claimed from documents),
+numbered as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place from coded),
+inner0 as (select tree, place, leaf as h from numbered),{_tree('inner', levels)},
+outer0 as (select '' as tree, row_number() over (order by tree) - 1 as place, h, tree as source_tree from inner{levels}),{_tree('outer', top)},
+path as (select n.doc_id, n.leaf, n.claimed, o.h as subroot, (select h from outer{top}) as root, sha256({proof}) as proof_sha256,
+    {', '.join(f'{s}' for s in sides)} from numbered n {joins}),
+{', '.join(folds)}
+select doc_id, leaf, subroot, root, proof_sha256, {previous} as folded_root, {previous} = root as verified from folded{len(sides) - 1}"""

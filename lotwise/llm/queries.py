@@ -11,7 +11,9 @@ from lotwise.llm import oracle
 from lotwise.llm.base import held_out, read, scratch_path
 from lotwise.llm.chat import chat_digests, read_chats, write_chats
 from lotwise.llm.decontamination import contamination
+from lotwise.llm.exact import exact_duplicates
 from lotwise.llm.lines import without_repeated_lines
+from lotwise.llm.merkle import merkle_proofs
 from lotwise.llm.mixing import mixture
 from lotwise.llm.neardup import near_duplicates
 from lotwise.llm.repeats import without_repeats
@@ -82,6 +84,23 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=4, threshold=80)
 
 
+def _hex(column: str) -> Column:
+    return F.lower(F.hex(column))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(read(spark, sf_dir, "documents"), digest_all=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", _hex("digest").alias("text_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    altered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    proofs = merkle_proofs(read(spark, sf_dir, "documents"), F.when(altered, lowered).otherwise(F.col("text")))
+    return proofs.select("doc_id", _hex("leaf").alias("leaf"), _hex("subroot").alias("subroot"), _hex("root").alias("root"),
+                         _hex("proof").alias("proof_sha256"), _hex("folded").alias("folded_root"), "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -93,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: Tokenizing, learning and searching for similar sets are not SQL; tests compare those with brute force.
@@ -101,4 +122,6 @@ ORACLES: dict[str, str] = {
     "op4_decontamination": oracle.DECONTAMINATION,
     "op6_line_dedup": oracle.LINE_DEDUP,
     "op7_top_k": oracle.TOP_K,
+    "op12_exact_dedup": oracle.EXACT_DEDUP,
+    "op13_merkle_manifest": oracle.merkle_manifest(),
 }
