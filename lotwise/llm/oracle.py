@@ -145,3 +145,47 @@ path as (select n.doc_id, n.leaf, n.claimed, o.h as subroot, (select h from oute
     {', '.join(f'{s}' for s in sides)} from numbered n {joins}),
 {', '.join(folds)}
 select doc_id, leaf, subroot, root, proof_sha256, {previous} as folded_root, {previous} = root as verified from folded{len(sides) - 1}"""
+
+
+#: States: 0 nothing written, 1 a system turn, 2 a user turn, 3 an assistant turn was written last.
+REPAIR = rf"""
+with recursive source as (select *, {crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind from conversations),
+damaged as (select coalesce('c' || conv_id, '') as conv, turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role,
+    case kind when 1 then '' when 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+    unnest(case when kind = 3 then [1, 2] else [1] end) as copy from source where kind <> 0),
+bodies as (select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body, left(role, 1) as initial,
+    row_number() over (partition by conv order by turn nulls first, role, sha256(text), copy) as i,
+    row_number() over (partition by conv, role, text order by turn nulls first, copy) as times from damaged),
+rows as (select *, body = '' as blank, body <> '' and times > 1 as repeated,
+    body <> '' and times = 1 and right(body, 1) not in ('.', '!', '?') as cut,
+    lag(initial) over (partition by conv order by i) || initial as pair from bodies),
+counted as (select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+    count(*) filter (repeated) as duplicate, count(*) filter (cut) as truncated,
+    count(*) filter (pair not in ('su', 'ua', 'au')) as illegal, max(i) as n from rows group by conv),
+inserts(q, r, put, paid) as (values (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 2), (1, 2, 'I', 2), (2, 3, 'I', 2),
+    (3, 2, 'I', 2), (0, 3, 'II', 4), (1, 3, 'II', 4)),
+turns(r, s, letter, price, initial) as (values (0, 0, 'D', 3, ''), (1, 1, 'D', 3, ''), (2, 2, 'D', 3, ''), (3, 3, 'D', 3, ''),
+    (0, 2, 'R', 2, ''), (1, 2, 'R', 2, ''), (2, 3, 'R', 2, ''), (3, 2, 'R', 2, ''),
+    (0, 1, 'K', 0, 's'), (0, 2, 'K', 0, 'u'), (1, 2, 'K', 0, 'u'), (3, 2, 'K', 0, 'u'), (2, 3, 'K', 0, 'a')),
+moves as (select q, s, put || letter as letters, paid + price as price, letter, initial from inserts join turns using (r)),
+ways(conv, i, q, best) as (
+    select conv, 0::bigint, 0, {{'cost': 0::bigint, 'audit': ''}} from counted
+    union all
+    select w.conv, n.i, m.s, min({{'cost': w.best.cost + m.price + (n.cut and m.letter <> 'D')::int, 'audit': w.best.audit || m.letters}})
+    from ways w join rows n on n.conv = w.conv and n.i = w.i + 1 join moves m on m.q = w.q
+        and (m.letter = 'D' or not (n.blank or n.repeated)) and (m.letter <> 'K' or m.initial = n.initial)
+    group by w.conv, n.i, m.s),
+ends(q, put, paid) as (values (0, '', 0), (3, '', 0), (2, 'I', 2), (1, 'II', 4)),
+least as (select conv, min({{'cost': best.cost + paid, 'audit': best.audit || put}}) as best
+    from ways join counted using (conv) join ends using (q) where i = n group by conv),
+letters as (select conv, p, substr(best.audit, p, 1) as letter from (select conv, best, unnest(range(1, length(best.audit) + 1)) as p from least)),
+placed as (select *, sum((letter <> 'I')::int) over (partition by conv order by p) as i, sum((letter <> 'D')::int) over (partition by conv order by p) as o from letters),
+written as (select p.conv, p.p, p.letter, p.o, n.role, n.text, max((p.o = 1 and p.letter = 'K' and n.initial = 's')::int) over (partition by p.conv) as headed
+    from placed p left join rows n on n.conv = p.conv and n.i = p.i and p.letter <> 'I' where p.letter <> 'D'),
+repaired as (select conv, string_agg(case letter when 'K' then role else case when (o - headed) % 2 = 1 then 'user' else 'assistant' end end
+    || ':' || case letter when 'I' then '' else text end, chr(10) order by p) as lines from written group by conv)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+    coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(best.cost, 0)::bigint as cost,
+    coalesce(best.audit, '') as audit, sha256(coalesce(lines, '')) as repaired_sha256
+from (select distinct conv_id, coalesce('c' || conv_id, '') as conv from conversations)
+    left join counted using (conv) left join least using (conv) left join repaired using (conv)"""

@@ -16,6 +16,7 @@ from lotwise.llm.lines import without_repeated_lines
 from lotwise.llm.merkle import merkle_proofs
 from lotwise.llm.mixing import mixture
 from lotwise.llm.neardup import near_duplicates
+from lotwise.llm.repair import repair_report
 from lotwise.llm.repeats import without_repeats
 from lotwise.llm.scoring import score_documents
 from lotwise.llm.settings import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, mix_levels
@@ -88,6 +89,26 @@ def _hex(column: str) -> Column:
     return F.lower(F.hex(column))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations with the faults that the check plants by crc32 of id and turn."""
+    whole = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(whole["conv_id"], F.lit(":"), whole["turn"])) % 20
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(whole["text"], "[.!?]", "")).otherwise(whole["text"])
+    role = F.when(kind == 4, F.lit("user")).otherwise(whole["role"])
+    return (rows.where(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.when(kind == 3, 2).otherwise(1).alias("_times"))
+            .select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report = repair_report(damaged(rows)).withColumnRenamed("conv_id", "_id")
+    every = rows.select("conv_id").distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(report, F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce(_hex("repaired"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(read(spark, sf_dir, "documents"), digest_all=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", _hex("digest").alias("text_sha256"))
@@ -112,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -122,6 +144,7 @@ ORACLES: dict[str, str] = {
     "op4_decontamination": oracle.DECONTAMINATION,
     "op6_line_dedup": oracle.LINE_DEDUP,
     "op7_top_k": oracle.TOP_K,
+    "op11_conversation_repair": oracle.REPAIR,
     "op12_exact_dedup": oracle.EXACT_DEDUP,
     "op13_merkle_manifest": oracle.merkle_manifest(),
 }
