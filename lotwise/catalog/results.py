@@ -60,6 +60,32 @@ def _tree_quality(v: Views, fit) -> DataFrame:
     return blending.regression_metrics(_judged(models.predict_long(model, rest), rest), [LOT, "split", "horizon"])
 
 
+def _stumps(v: Views, fit) -> DataFrame:
+    """Trees of one split per lot on one input, which SQL can search in full."""
+    rows = _simple_samples(v)
+    lots = [r[0] for r in rows.select(LOT).distinct().collect()]
+    return models.predict_long(fit(_share(rows, "train"), lots), rows.where("split <> 'train'"))
+
+
+def _stump_sql(step: float) -> str:
+    """The cut that saves most squares over all horizons, and ``step`` of the way from the lot's means to the side's."""
+    return _LINES + f""",
+        sample as materialized (select parking_lot_id, hour_timestamp, x, since >= floor(m * 0.7) later from steps where known = 24),
+        ranked as (select x, row_number() over (order by x) r, count(*) over () n from sample where not later),
+        cuts as (select distinct x cut from ranked where x < (select max(x) from ranked) and (
+            (select count(distinct x) from ranked) <= 32 or r in (select (k * n + 31) // 32 from range(1, 32) t(k)))),
+        goals as materialized (select s.*, h.h horizon, b.avg_free_spaces y from sample s join range(1, 25) h(h) on true
+            join model_frame b on b.parking_lot_id = s.parking_lot_id and b.hour_timestamp = s.hour_timestamp + to_hours(h.h)),
+        means as materialized (select parking_lot_id, horizon, avg(y) mean from goals where not later group by all),
+        sides as (select g.parking_lot_id, horizon, cut, g.x <= cut low, sum(y - mean) s, count(*) n
+            from goals g join means using (parking_lot_id, horizon), cuts where not later group by all),
+        best as (select parking_lot_id, cut from (select parking_lot_id, cut, sum(s * s / n) score, count(distinct low) n from sides group by all)
+            where n = 2 qualify row_number() over (partition by parking_lot_id order by score desc, cut) = 1)
+        select o.parking_lot_id, o.hour_timestamp origin, horizon, mean + {step} * s.s / s.n prediction
+        from sample o join best using (parking_lot_id) join sides s on s.parking_lot_id = o.parking_lot_id and s.cut = best.cut
+             and s.low = (o.x <= best.cut) join means using (parking_lot_id, horizon) where later"""
+
+
 def _predict(v: Views) -> DataFrame:
     rows = _simple_samples(v)
     return models.predict_long(models.fit_linear(_share(rows, "train")), rows.where("split <> 'train'"))
@@ -185,6 +211,12 @@ ENTRIES = {
     "fit_gradient_boosting": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
         lambda v: _tree_quality(v, models.fit_gradient_boosting)),
+    "forest_stumps": Entry(
+        "parking_lot_id:i origin:t horizon:i prediction:d", lambda v: _stumps(v, lambda s, lots: models.fit_random_forest(
+            s, lots=lots, trees=1, depth=1, share=1.0, bootstrap=False)), _stump_sql(1.0)),
+    "boosting_stumps": Entry(
+        "parking_lot_id:i origin:t horizon:i prediction:d", lambda v: _stumps(v, lambda s, lots: models.fit_gradient_boosting(
+            s, lots=lots, rounds=1, depth=1, step=0.25)), _stump_sql(0.25)),
     "predict_long": Entry(
         "parking_lot_id:i origin:t horizon:i prediction:d", _predict,
         _LINES + """ select parking_lot_id, hour_timestamp origin, horizon, intercept + slope * x prediction

@@ -1,27 +1,27 @@
 """Forecast models: linear regression, random forest, gradient boosting.
 
 The linear model is solved for all lots and horizons in one job from summed cross
-products; a lot of any size only ever meets the solver as a matrix of fixed size. The
-tree models use Spark ML, one ensemble per horizon over all lots that learns distances
-from each lot's level, or one per named lot.
+products; a lot of any size only ever meets the solver as a matrix of fixed size. A tree
+model is one ensemble whose leaves hold all horizons, over all lots or per named lot; it
+learns distances from each lot's level.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.clock import DAY, seconds_floor
+from lotwise.operators import trees as ensembles
 from lotwise.operators.frames import join_per_lot, spread_out
 from lotwise.schemas import HORIZON_HOURS, LOT
 from lotwise.session import stored
@@ -32,7 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LINEAR_MODEL = f"{LOT} int, horizon int, intercept double, coefficients array<double>"
 _FIT_SLOT = 180 * DAY         # samples of one lot and slot are summed in one task
 _SCORE_SLOT = 30 * DAY        # windows of one lot and slot are scored together
-_TREE_ROWS = 10_000           # samples per task of a tree fit, whose tasks each hold and send the sums of all open nodes
+_ALL_LOTS = -1                # group of an ensemble over all lots
 
 
 def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,14 +88,14 @@ def fit_linear(samples: DataFrame) -> DataFrame:
 
 @dataclass
 class TreeForecaster:
-    """Fitted ensembles per horizon; ``by_lot`` is empty for the model pooled over all lots.
+    """A packed ensemble over all lots, or one for each of the ``named`` lots, one row each.
 
     ``levels`` holds the mean and the spread of each lot's training targets.
     """
 
-    pooled: dict[int, object]
-    by_lot: dict[int, dict[int, object]]
+    ensembles: DataFrame
     levels: DataFrame
+    named: bool
 
 
 def _lot_levels(samples: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def _lot_levels(samples: DataFrame) -> DataFrame:
 
 
 def _tree_inputs(samples: DataFrame, levels: DataFrame) -> DataFrame:
-    """Adds the lot's ``_level`` and ``_spread``, and ``features``: the window followed by both.
+    """Adds the lot's ``_level`` and ``_spread``, and ``x``: the window followed by both.
 
     Trees learn targets as distances from the lot's level in units of its spread, so that any number of lots can be
     told apart. A lot that was not in training takes the figures of all lots.
@@ -115,43 +115,32 @@ def _tree_inputs(samples: DataFrame, levels: DataFrame) -> DataFrame:
     overall = levels.where(F.col(LOT).isNull()).first()
     joined = join_per_lot(samples, levels.where(F.col(LOT).isNotNull()), "origin")
     known = joined.withColumns({c: F.coalesce(c, F.lit(overall[c] if overall else None).cast("double")) for c in figures})
-    return known.withColumn("features", array_to_vector(F.concat("window", F.array(*figures))))
+    return known.withColumn("x", F.concat("window", F.array(*figures)))
 
 
-def _fit_trees(samples: DataFrame, estimator, horizons: int, lots: list[int] | None,
-               parallelism: int) -> TreeForecaster:
+def _fit_trees(samples: DataFrame, fit, horizons: int, lots: list[int] | None) -> TreeForecaster:
     levels = stored(_lot_levels(samples), "levels")
-    distances = F.transform("targets", lambda y: (y - F.col("_level")) / F.col("_spread")).alias("targets")
-    rows = stored(_tree_inputs(samples, levels).select(LOT, "features", distances), "tree-samples")
-    rows = rows.coalesce(rows.count() // _TREE_ROWS + 1)
-
-    def fit(job: tuple[int | None, int]):
-        lot, h = job
-        chosen = rows if lot is None else rows.where(F.col(LOT) == lot)
-        return estimator().fit(chosen.select("features", F.element_at("targets", h).alias("label")))
-    jobs = [(lot, h) for lot in (lots or [None]) for h in range(1, horizons + 1)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        fitted = dict(zip(jobs, pool.map(fit, jobs)))
-    group = {lot: {h: m for (owner, h), m in fitted.items() if owner == lot} for lot in (lots or [None])}
-    return TreeForecaster(group.pop(None, {}), group, levels)
+    distances = F.transform(F.slice("targets", 1, horizons), lambda y: (y - F.col("_level")) / F.col("_spread")).alias("targets")
+    chosen = samples if lots is None else samples.where(F.col(LOT).isin(lots))
+    group = F.lit(_ALL_LOTS) if lots is None else F.col(LOT)
+    key = F.xxhash64(LOT, "origin").alias("key")
+    rows = stored(_tree_inputs(chosen, levels).select(group.cast("int").alias("grp"), key, "x", distances), "tree-samples")
+    return TreeForecaster(stored(fit(rows), "ensembles"), levels, lots is not None)
 
 
 def fit_random_forest(samples: DataFrame, horizons: int = HORIZON_HOURS, lots: list[int] | None = None,
-                      trees: int = 100, depth: int = 8, seed: int = 42, parallelism: int = 8) -> TreeForecaster:
-    """One forest per horizon. ``lots`` names lots that get forests of their own.
+                      trees: int = 100, depth: int = 8, seed: int = 42, share: float = 1 / 3, bootstrap: bool = True) -> TreeForecaster:
+    """One forest whose leaves hold all horizons; a node may split on ``share`` of the inputs.
 
-    Without ``lots`` the number of fits does not grow with the number of lots.
+    ``lots`` names lots that get forests of their own, grown by the same jobs.
     """
-    return _fit_trees(samples, lambda: RandomForestRegressor(
-        numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=False), horizons, lots, parallelism)
+    return _fit_trees(samples, lambda rows: ensembles.forest(rows, trees, depth, seed, share, bootstrap), horizons, lots)
 
 
 def fit_gradient_boosting(samples: DataFrame, horizons: int = HORIZON_HOURS, lots: list[int] | None = None,
-                          rounds: int = 50, depth: int = 4, step: float = 0.1, seed: int = 42,
-                          parallelism: int = 8) -> TreeForecaster:
-    """One boosted ensemble per horizon, with the same choice of pooled or named lots."""
-    return _fit_trees(samples, lambda: GBTRegressor(
-        maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed), horizons, lots, parallelism)
+                          rounds: int = 50, depth: int = 4, step: float = 0.1, seed: int = 42) -> TreeForecaster:
+    """One chain of rounds for all horizons, with the same choice of all or named lots."""
+    return _fit_trees(samples, lambda rows: ensembles.boosting(rows, rounds, depth, step, seed), horizons, lots)
 
 
 def _score_linear(windows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
@@ -174,27 +163,53 @@ def _linear_predictions(model: DataFrame, windows: DataFrame) -> DataFrame:
             .applyInPandas(_score_linear, f"{LOT} int, origin timestamp, predictions array<double>"))
 
 
-def _tree_predictions(models: dict[int, object], windows: DataFrame, levels: DataFrame) -> DataFrame:
-    """All horizons in one pass over the windows."""
-    scored = _tree_inputs(windows, levels).select(LOT, "origin", "_level", "_spread", "features")
-    for h, model in sorted(models.items()):
-        scored = model.copy().setPredictionCol(f"_h{h}").transform(scored)
-    outputs = [F.col(f"_h{h}") * F.col("_spread") + F.col("_level") for h in sorted(models)]
-    return scored.select(LOT, "origin", F.array(*outputs).alias("predictions"))
+_TREE_INPUT = [LOT, "origin", "_level", "_spread", "x"]
+_PREDICTED = f"{LOT} int, origin timestamp, predictions array<double>"
+
+
+def _pooled_predictions(model: TreeForecaster, inputs: DataFrame) -> DataFrame:
+    """Every batch meets the one ensemble, whose size is bounded by its trees and their depth."""
+    found = model.ensembles.first()
+    if found is None:   # there were no samples to learn from
+        return inputs.sparkSession.createDataFrame([], _PREDICTED)
+    ensemble = found.asDict()
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = np.asarray(b.column("x").flatten()).reshape(b.num_rows, -1)
+                y = ensembles.evaluated(x, ensemble)
+                y = y * np.asarray(b.column("_spread"))[:, None] + np.asarray(b.column("_level"))[:, None]
+                yield pa.RecordBatch.from_arrays([b.column(LOT), b.column("origin"), pa.array(list(y), pa.list_(pa.float64()))],
+                                                 [LOT, "origin", "predictions"])
+    return inputs.mapInArrow(run, _PREDICTED)
+
+
+def _score_trees(windows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    if windows.empty or model.empty:
+        return pd.DataFrame({LOT: pd.Series(dtype="int32"), "origin": pd.Series(dtype="datetime64[ns]"),
+                             "predictions": pd.Series(dtype=object)})
+    y = ensembles.evaluated(np.vstack(windows["x"].to_numpy()), model.iloc[0])
+    y = y * windows["_spread"].to_numpy()[:, None] + windows["_level"].to_numpy()[:, None]
+    return pd.DataFrame({LOT: windows[LOT], "origin": windows["origin"], "predictions": list(y)})
+
+
+def _tree_predictions(model: TreeForecaster, windows: DataFrame) -> DataFrame:
+    """All horizons at once; with named lots, windows meet their lot's ensemble per (lot, month)."""
+    inputs = _tree_inputs(windows, model.levels).select(*_TREE_INPUT)
+    if not model.named:
+        return _pooled_predictions(model, inputs)
+    slot = seconds_floor("origin", _SCORE_SLOT)
+    slots = windows.select(F.col(LOT).alias("_lot"), slot.alias("_part")).distinct()
+    fitted = model.ensembles.join(slots, F.col("grp") == F.col("_lot")).drop("_lot")
+    return (inputs.withColumn("_slot", slot).groupBy(LOT, "_slot").cogroup(fitted.groupBy("grp", "_part"))
+            .applyInPandas(_score_trees, _PREDICTED))
 
 
 def predict_long(model: DataFrame | TreeForecaster, windows: DataFrame,
                  horizons: int = HORIZON_HOURS) -> DataFrame:
     """(lot, origin, horizon, prediction); missing horizons repeat the model's last output."""
-    if isinstance(model, TreeForecaster):
-        parts = [_tree_predictions(m, windows.where(F.col(LOT) == lot), model.levels) for lot, m in model.by_lot.items()]
-        if model.pooled:
-            parts.append(_tree_predictions(model.pooled, windows, model.levels))
-        wide = parts[0]
-        for part in parts[1:]:
-            wide = wide.unionByName(part)
-    else:
-        wide = _linear_predictions(model, windows)
+    wide = _tree_predictions(model, windows) if isinstance(model, TreeForecaster) else _linear_predictions(model, windows)
     horizon = F.explode(F.sequence(F.lit(1), F.lit(horizons))).alias("horizon")
     return (wide.select("*", horizon)
             .select(LOT, "origin", "horizon", F.element_at(

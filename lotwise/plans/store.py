@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotwise.operators.models import TreeForecaster
@@ -13,22 +12,17 @@ from lotwise.sources.tables import as_stored, write_append, write_upsert
 
 _TABLES = ["stats", "alpha", "metrics"]
 _MODELS = ["model_a", "model_b"]
-_KINDS = {kind.__name__: kind for kind in (GBTRegressionModel, RandomForestRegressionModel)}
 _FORECAST_KEY = [LOT, "prediction_made_at", "model_name", "target_hour"]
 
 
-def _save_model(spark: SparkSession, model: Model, path: str) -> list[tuple]:
-    """Writes one model and returns its parts as (kind, lot, horizon)."""
+def _save_model(model: Model, path: str) -> str:
+    """Writes one model and returns its kind."""
     if isinstance(model, DataFrame):
-        model.write.mode("overwrite").parquet(f"{path}/linear")
-        return [("linear", None, None)]
-    model.levels.write.mode("overwrite").parquet(f"{path}/levels")
-    parts = []
-    for lot, fitted in [(None, model.pooled), *model.by_lot.items()]:
-        for horizon, ensemble in fitted.items():
-            ensemble.write().overwrite().save(f"{path}/trees/{'all' if lot is None else lot}/{horizon}")
-            parts.append((type(ensemble).__name__, lot, horizon))
-    return parts
+        model.write.parquet(f"{path}/linear")
+        return "linear"
+    model.levels.write.parquet(f"{path}/levels")
+    model.ensembles.write.parquet(f"{path}/trees")
+    return "named trees" if model.named else "trees"
 
 
 def save_hybrid(spark: SparkSession, hybrid: Hybrid, path: str) -> None:
@@ -38,27 +32,21 @@ def save_hybrid(spark: SparkSession, hybrid: Hybrid, path: str) -> None:
     """
     for name in _TABLES:
         getattr(hybrid, name).write.parquet(f"{path}/{name}")
-    parts = [(name, *part) for name in _MODELS for part in _save_model(spark, getattr(hybrid, name), f"{path}/{name}")]
-    spark.createDataFrame(parts, "name string, kind string, lot int, horizon int").coalesce(1).write.parquet(f"{path}/parts")
+    parts = [(name, _save_model(getattr(hybrid, name), f"{path}/{name}")) for name in _MODELS]
+    spark.createDataFrame(parts, "name string, kind string").coalesce(1).write.parquet(f"{path}/parts")
 
 
-def _load_model(spark: SparkSession, parts: list, path: str) -> Model:
-    if parts[0]["kind"] == "linear":
+def _load_model(spark: SparkSession, kind: str, path: str) -> Model:
+    if kind == "linear":
         return spark.read.parquet(f"{path}/linear")
-    forecaster = TreeForecaster({}, {}, spark.read.parquet(f"{path}/levels"))
-    for part in parts:
-        lot, horizon = part["lot"], part["horizon"]
-        group = forecaster.pooled if lot is None else forecaster.by_lot.setdefault(lot, {})
-        group[horizon] = _KINDS[part["kind"]].load(f"{path}/trees/{'all' if lot is None else lot}/{horizon}")
-    return forecaster
+    return TreeForecaster(spark.read.parquet(f"{path}/trees"), spark.read.parquet(f"{path}/levels"), kind == "named trees")
 
 
 def load_hybrid(spark: SparkSession, path: str) -> Hybrid:
-    """A saved forecaster; its list has one row per model, horizon and named lot."""
-    parts = spark.read.parquet(f"{path}/parts").orderBy("name", "lot", "horizon").collect()
+    """A saved forecaster; its list has one row per model."""
+    kinds = {r["name"]: r["kind"] for r in spark.read.parquet(f"{path}/parts").collect()}
     tables = {name: spark.read.parquet(f"{path}/{name}") for name in _TABLES}
-    models = {name: _load_model(spark, [p for p in parts if p["name"] == name], f"{path}/{name}") for name in _MODELS}
-    return Hybrid(**tables, **models)
+    return Hybrid(**tables, **{name: _load_model(spark, kinds[name], f"{path}/{name}") for name in _MODELS})
 
 
 def store_forecast(rows: DataFrame, wide: DataFrame, rows_path: str, wide_path: str) -> None:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators import blending, models, supervised
+from lotwise.operators import blending, models, supervised, trees
 from lotwise.schemas import LOT
 
 
@@ -75,6 +75,65 @@ def test_trees_tell_many_lots_apart(spark, fit):
     assert blending.regression_metrics(judged, ["horizon"]).first().r2 > 0.95
 
 
+@pytest.mark.parametrize("lots", [None, [1, 2]])
+@pytest.mark.parametrize("fit", [
+    lambda s, lots: models.fit_random_forest(s, lots=lots, trees=3, depth=4, share=0.7),
+    lambda s, lots: models.fit_gradient_boosting(s, lots=lots, rounds=2, depth=3, step=0.5)])
+def test_histograms_split_like_tasks_that_hold_all_rows(spark, monkeypatch, fit, lots):
+    samples, _ = sample_rows(spark, n=50)
+
+    def predictions():
+        return {tuple(r)[:3]: r.prediction for r in models.predict_long(fit(samples, lots), samples, horizons=3).collect()}
+    plain = predictions()
+    for rows in (0, 15):   # all nodes, or the upper ones, from histograms of three nodes at a time
+        monkeypatch.setattr(trees, "LOCAL_ROWS", rows)
+        monkeypatch.setattr(trees, "PASS_BYTES", 3 * 5 * trees.BINS * 5 * 8)
+        other = predictions()
+        assert plain.keys() == other.keys() and all(other[k] == pytest.approx(v, abs=1e-9) for k, v in plain.items())
+
+
+def test_jobs_of_boosting_do_not_grow_with_horizons(spark):
+    samples, _ = sample_rows(spark, outputs=24)
+    spark.sparkContext.setJobGroup("boosting", "boosting")
+    models.fit_gradient_boosting(samples, rounds=12, depth=3)
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("boosting")) < 12 * 4 + 40
+
+
+def test_forest_equals_plain_search(spark):
+    """One tree without draws against a plain search over all cuts, with inputs of few values."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, (120, 3)).astype(float)
+    y = np.stack([x[:, 0] * (x[:, 1] > 2), x[:, 2] ** 2], 1) + rng.normal(size=(120, 2)) / 10
+    rows = [(1, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), x[i].tolist(), y[i].tolist()) for i in range(120)]
+    samples = spark.createDataFrame(rows, "parking_lot_id int, origin timestamp, window array<double>, targets array<double>")
+    model = models.fit_random_forest(samples, trees=1, depth=3, share=1.0, bootstrap=False)
+    got = np.zeros((120, 2))
+    for r in models.predict_long(model, samples, horizons=2).collect():
+        got[int((r.origin - dt.datetime(2024, 1, 1)).total_seconds() // 3600), r.horizon - 1] = r.prediction
+
+    def plain(here, depth):
+        out = np.tile(y[here].mean(0), (len(here), 1))
+        best = None
+        for f in range(3):
+            for cut in np.unique(x[here, f])[:-1]:
+                low = x[here, f] <= cut
+                loss = sum(((y[here][side] - y[here][side].mean(0)) ** 2).sum() for side in (low, ~low))
+                if best is None or loss < best[0] - 1e-9:
+                    best = (loss, low)
+        if depth and best:
+            for side in (best[1], ~best[1]):
+                out[side] = plain(here[side], depth - 1)
+        return out
+    assert np.allclose(got, plain(np.arange(120), 3))
+
+
+def test_trees_without_samples(spark):
+    samples, _ = sample_rows(spark, n=5)
+    for fit in (models.fit_random_forest, models.fit_gradient_boosting):
+        assert models.predict_long(fit(samples.where("false")), samples).collect() == []
+
+
 def test_minmax_and_constant_position(spark):
     df = spark.createDataFrame([(lot, dt.datetime(2024, 1, 1), w) for lot, w in (
         (1, [0.0, 5.0, 3.0]), (1, [10.0, 5.0, 1.0, 9.0]), (2, [7.0, 7.0, 7.0]))],
