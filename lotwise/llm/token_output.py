@@ -6,7 +6,8 @@ retries and lost executors are Spark's business; no task opens a file. Reading d
 ids of all parts before (one number per part).
 
 Rules: a NULL text is empty and gives the end id alone; a NULL id sorts first; rows with equal ids are all kept,
-ordered by a hash of their text; an empty table gives an empty output. Other columns are ignored.
+ordered by a hash of their text; an empty table gives an empty output. Other columns are ignored. A text that holds one of the
+tokenizer's added tokens is encoded whole by the library, which gives such a token its own id.
 """
 
 from __future__ import annotations
@@ -51,12 +52,23 @@ _ASCII_LETTER = _flags(bytes(range(65, 91)) + bytes(range(97, 123)))
 _LATIN_LEAD = _flags(b"\xc3\xc4\xc5")  # U+00C0 to U+017F: letters but for the signs of multiplication and division
 
 
-def _pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+def _rows_with(texts: Texts, tokens: list[bytes]) -> np.ndarray:
+    """Rows that hold one of ``tokens``; a token across two rows may name the first of them needlessly."""
+    data, found = texts.data.tobytes() if tokens else b"", []
+    for token in tokens:
+        at = data.find(token)
+        while at >= 0:
+            found.append(at)
+            at = data.find(token, at + 1)
+    return np.unique(np.searchsorted(texts.bounds, found, "right") - 1)
+
+
+def _pieces(texts: Texts, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(borders of pieces that can be encoded on their own, rows that cannot be cut this way).
 
     Cut are: before a white-space run; between a letter and closing punctuation; between a lone white-space character
     that is no blank and a letter. The byte-level pre-tokenizer ends a piece of its own at each of these places.
-    Rows with white space beyond ASCII are left in one piece.
+    Rows with white space beyond ASCII or with one of the added ``tokens`` are left in one piece.
     """
     data = texts.data
     n = len(data)
@@ -81,8 +93,9 @@ def _pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
                 | ((data[at] == 0xE2) & (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF)))
                 | ((data[at] == 0xE2) & (second == 0x81) & (third == 0x9F)) | ((data[at] == 0xE3) & (second == 0x80) & (third == 0x80)))
         rows = np.unique(np.searchsorted(texts.bounds, at[wide], "right") - 1)
-        for row in rows:
-            cut[texts.bounds[row] + 1:texts.bounds[row + 1]] = False
+    rows = np.union1d(rows, _rows_with(texts, tokens)).astype(np.int64)
+    for row in rows:
+        cut[texts.bounds[row] + 1:texts.bounds[row + 1]] = False
     return np.append(np.flatnonzero(cut), n), rows
 
 
@@ -92,8 +105,9 @@ class _Known(dict):
     A piece of letters is one piece for the pre-tokenizer too, so it goes to the tokenizer's BPE model at once.
     """
 
-    def __init__(self, tokenizer, kind: str, before: dict[bytes, bytes]):
+    def __init__(self, tokenizer, kind: str, before: dict[bytes, bytes], tokens: list[bytes]):
         super().__init__()
+        self._tokens = tokens
         self._encode, self._merge, self._kind, self._before = tokenizer.encode, tokenizer.model.tokenize, kind, before
         self._letters = _byte_letters()
         self._plain = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4\xc5].)+", re.DOTALL).fullmatch
@@ -101,7 +115,7 @@ class _Known(dict):
     def __missing__(self, piece: bytes) -> bytes:
         coded = self._before.get(piece)
         if coded is None:
-            if self._plain(piece):
+            if self._plain(piece) and not any(t in piece for t in self._tokens):
                 ids = [token.id for token in self._merge(charmap_decode(piece, "strict", self._letters)[0])]
             else:
                 ids = self._encode(piece.decode(), add_special_tokens=False).ids
@@ -121,19 +135,19 @@ class PieceEncoder:
     def __init__(self, path: str, capacity: int = CACHED_PIECES):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokens = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._kind = "H" if self._tokenizer.get_vocab_size() <= 1 << 16 else "I"  # of array and numpy alike
-        self._known = _Known(self._tokenizer, self._kind, {})
+        self._known = _Known(self._tokenizer, self._kind, {}, self._tokens)
         self._capacity = capacity
 
     def __call__(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(borders of the rows among the ids, ids) of a slice."""
         if len(self._known) > self._capacity:
             self._known._before = {}
-            self._known = _Known(self._tokenizer, self._kind, self._known)
+            self._known = _Known(self._tokenizer, self._kind, self._known, self._tokens)
         if not len(texts.data):
             return np.zeros(texts.rows + 1, np.int64), np.zeros(0, self._kind)
-        borders, _ = _pieces(texts)
+        borders, _ = _pieces(texts, self._tokens)
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(borders) - 1,
                                                   [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(texts.data)])
         coded = pieces.dictionary_encode()
