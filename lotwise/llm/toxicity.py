@@ -2,11 +2,12 @@
 
 A document's probability is the noisy-or of its sentences', 1 - prod(1 - p_s), and the sentence model (logistic
 regression over hashed words and word beginnings) is trained through it by gradient descent. The fit uses a bounded
-sample of labelled rows: at most about ``FIT_DOCS`` documents chosen by a hash of their id, and of them the first
-that hold ``FIT_FEATURES`` features. Scoring covers every whole text.
+sample of labelled rows: at most about ``FIT_DOCS`` documents chosen by a hash of their id, and of them those that fit into
+``FIT_FEATURES`` features; a giant document is passed over, not those after it. Scoring covers every whole text.
 
 Rules: a NULL or empty text has no sentence and scores 0; a document with several labels counts as toxic if one says
-so; NULL labels and labels of unknown documents are left out; without any label of both kinds every score is 0; equal
+so; NULL labels and labels of unknown documents are left out; without any label of both kinds every score is 0; a sample that
+has lost all documents of one label is an error; equal
 texts score alike. Other columns pass through.
 """
 
@@ -24,6 +25,7 @@ from lotwise.llm.words import Hasher, Texts, alphanumeric, texts_of, total_by, w
 
 FIT_DOCS = 6000
 FIT_FEATURES = 8_000_000
+FIT_SHARE = 20            # a document with more than one part in so many of FIT_FEATURES is not learned from
 BITS = 18
 PREFIXES = (4, 5, 6)      # beginnings of words, in bytes, beside the whole word
 THRESHOLD = 0.7
@@ -154,14 +156,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, docs_limit:
              .join(F.broadcast(chosen), "doc_id"))
     rows = stored(annotated(texts, ["doc_id", "toxic", "chance"], _featurizer(), "features binary, firsts binary"),
                   "toxic-sample").withColumn("size", F.length("features") / 4)
-    # Whole documents in the order of their numbers, as far as the limit of features goes.
-    sizes = sorted((r.chance, r.size) for r in rows.select("chance", "size").collect())
-    ends = np.cumsum([size for _, size in sizes])
-    last = int(np.searchsorted(ends, features_limit, "right"))
-    within = F.lit(True) if last == len(sizes) else F.col("chance") < sizes[last][0]
+    # Whole documents in the order of their numbers, each that is no giant and still fits.
+    taken, total, kinds = set(), 0, {True: 0, False: 0}
+    found = sorted((r.chance, r.size, r.toxic != 0) for r in rows.select("chance", "size", "toxic").collect())
+    for chance, size, toxic in found:
+        if size <= features_limit // FIT_SHARE and total + size <= features_limit:
+            taken.add((chance, size))
+            total, kinds[toxic] = total + size, kinds[toxic] + 1
+    if len({toxic for *_, toxic in found}) == 2 and not all(kinds.values()):
+        raise ValueError("the bounded sample has lost all documents of one label; raise features_limit")
+    fits = docs.sparkSession.createDataFrame(sorted(taken), "chance double, size double")
     width = 1 + len(PREFIXES)
     sample = [(r.chance, r.features, np.frombuffer(r.firsts, np.int32), int(r.toxic != 0))
-              for r in rows.where(within).toLocalIterator()]
+              for r in rows.join(F.broadcast(fits), ["chance", "size"]).toLocalIterator()]
     sample.sort(key=lambda s: (s[0], s[1]))
     return fit([(np.frombuffer(f, np.int32).reshape(-1, width), first, label) for _, f, first, label in sample])
 
@@ -173,7 +180,7 @@ def _scorer(model):
         scores, worst, spans = [], [], []
         for texts in texts_of(column):
             features, first, rows, words = _instances(texts, fold, flags)
-            odds = np.clip(model.value.sentences(features, first), -40, 40)
+            odds = np.clip(Model(*model.value).sentences(features, first), -40, 40)
             scores.append(-np.expm1(-total_by(_softplus(odds), rows)))
             # Offending sentences: byte borders in the text of those that are toxic on their own.
             bad = np.flatnonzero(odds >= np.log(THRESHOLD / (1 - THRESHOLD)))
@@ -191,6 +198,7 @@ def _scorer(model):
 
 def score_toxicity(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns ``keep`` with score, toxic_sentences (byte borders and probability) and predicted."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
+    # A fixed number of weights, as plain values: workers need not have this package.
+    held = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     out = annotated(docs, keep, _scorer(held), "score double, toxic_sentences array<struct<start: int, end: int, p: double>>")
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -27,9 +27,8 @@ def frame(spark, texts, schema=DOCS):
 def test_tokens_equal_the_tokenizer(spark):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(byte_bpe())
-    tokenizer.encode_special_tokens = True
     draw = random.Random(1)
-    texts = [None, "", " ", "  a\n  b\t\tc \n", "a\x1cb !\x1c x", "　x　 y  ", "it's I'll  've\n\n\nx", "<|endoftext|> a", "\x85 \xa0b",
+    texts = [None, "", " ", "  a\n  b\t\tc \n", "a\x1cb !\x1c x", "　x　 y  ", "it's I'll  've\n\n\nx", "<|endoftext|> a", "b. <|endoftext|>", "<|endoftext|>", "x <|endoftext|><|endoftext|>.\n<|endoftext", "\x85 \xa0b",
              "÷a\n×b\nÀb.c,d", "Und die Über-\nZeile. " * 3000]
     texts += ["".join(draw.choice(" \n\t\r\x1c\x85\xa0ab'sé1!_ ​÷×.,À中") for _ in range(14)) for _ in range(400)]
     docs = frame(spark, texts).unionByName(spark.createDataFrame([(3, "twice"), (3, "twice"), (None, "no id")], DOCS))
@@ -245,3 +244,12 @@ def test_toxicity_learns_words_and_finds_sentences(spark):
     nobody = toxicity.fit_toxicity(docs.drop("score"), labels.where("false"), ~held_out(F.col("doc_id"), 3, 1))
     assert toxicity.score_toxicity(docs, nobody, ["doc_id"]).where("score > 0.001").count() == 0
     assert toxicity.score_toxicity(docs.where("false"), model, ["doc_id"]).count() == 0
+    # Giant documents are passed over wherever they stand in the sample, and the others still teach both labels.
+    giants = spark.createDataFrame([(2000 + k, "w1 w2 w3. " * 2500) for k in range(20)], DOCS)
+    marked = labels.unionByName(giants.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic", "0.5 as quality"))
+    model = toxicity.fit_toxicity(docs.drop("score").unionByName(giants), marked, ~held_out(F.col("doc_id"), 3, 1), features_limit=500_000)
+    told = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, model, ["doc_id"]).collect()}
+    assert all(told[r.doc_id] == int(r.doc_id % 9 == 0) for r in unseen)
+    with pytest.raises(ValueError, match="one label"):
+        only = labels.where("toxic = 0").unionByName(marked.where("doc_id = 2001"))
+        toxicity.fit_toxicity(docs.drop("score").unionByName(giants), only, F.lit(True), features_limit=500_000)
