@@ -31,7 +31,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (columns a, b); a component is named by its smallest node.
 
-    Each step is written to the shared folder, which cuts the lineage: a lost executor costs a re-read. A hot node
+    Each step is written to the shared folder, which cuts the lineage and keeps plans small: a lost executor costs a re-read. A hot node
     costs one map-side combined minimum and a join whose large side adaptive execution may split.
     """
     now = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
@@ -41,7 +41,7 @@ def components(links: DataFrame) -> DataFrame:
 
     before = sign(now)
     while before[0]:
-        now = stored(_small_star(_large_star(now)), "links")
+        now = stored(_small_star(stored(_large_star(now), "links")), "links")
         after = sign(now)
         if tuple(after) == tuple(before):
             break

@@ -74,22 +74,20 @@ def leaf_budgets(supply: DataFrame, levels: list[str], weights: dict[tuple[str,
                  max_epochs: int) -> DataFrame:
     """(levels, tokens, budget) of each leaf. ``supply``: (levels, tokens); the root's budget is ``share`` (numerator and
     denominator) of all tokens."""
-    everything = Window.partitionBy(F.lit(1))
-    tokens = supply.select(*levels, "tokens", F.floor(F.sum("tokens").over(everything).cast(_WIDE) * share[0] / share[1])
-                           .cast("long").alias("wanted"))
+    leaves = supply.withColumn("most", F.col("tokens") * max_epochs)
     for k in range(len(levels)):  # what lies under a node of weight 0 cannot be given
-        tokens = tokens.withColumn(f"weight_{k}", _weight(levels[:k + 1], weights)).where(F.col(f"weight_{k}") > 0)
-    tokens = tokens.withColumn("most", F.col("tokens") * max_epochs)
-    for k in range(len(levels)):
-        tokens = tokens.withColumn(f"most_{k}", F.sum("most").over(Window.partitionBy(*levels[:k + 1])))
-    tokens = tokens.withColumn("budget", F.least("wanted", F.sum("most").over(everything)))
-    for k, level in enumerate(levels):
+        leaves = leaves.withColumn(f"weight_{k}", _weight(levels[:k + 1], weights)).where(F.col(f"weight_{k}") > 0)
+    leaves = stored(leaves, "leaves")
+    wanted = (supply.agg(F.sum("tokens")).first()[0] or 0) * share[0] // share[1]
+    budget = min(wanted, leaves.agg(F.sum("most")).first()[0] or 0)
+    given = None
+    for k, level in enumerate(levels):  # a level is written before the next one asks for it
         path = levels[:k + 1]
-        nodes = (tokens.groupBy(*path).agg(F.first(f"most_{k}").alias("most"), F.first(f"weight_{k}").alias("weight"),
-                                           F.first("budget").alias("budget")))
-        given = _share_out(nodes, path[:-1], level).select(*path, F.col("given"))
-        tokens = tokens.join(given, path).withColumn("budget", F.col("given")).drop("given")
-    return tokens.select(*levels, "tokens", "budget")
+        nodes = leaves.groupBy(*path).agg(F.sum("most").alias("most"), F.first(f"weight_{k}").alias("weight"))
+        nodes = (nodes.withColumn("budget", F.lit(budget).cast("long")) if given is None
+                 else nodes.join(given.withColumnRenamed("given", "budget"), path[:-1]))
+        given = stored(_share_out(nodes, path[:-1], level).select(*path, "given"), "budgets")
+    return leaves.join(given, levels).select(*levels, "tokens", F.col("given").alias("budget"))
 
 
 def _order(seed: int, epoch: Column, doc_id: Column) -> Column:
@@ -101,10 +99,11 @@ def _with_levels(docs: DataFrame, levels: dict[str, Column], tokens: Column) ->
 
 
 def _plan(rows: DataFrame, levels: list[str], weights, share, max_epochs) -> DataFrame:
-    supply = rows.groupBy(*levels).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-    return (leaf_budgets(supply, levels, weights, share, max_epochs).where("budget > 0")
+    supply = stored(rows.groupBy(*levels).agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "supply")
+    plan = (leaf_budgets(supply, levels, weights, share, max_epochs).where("budget > 0")
             .withColumn("whole_epochs", F.expr("budget div tokens")).withColumn("part", F.expr("budget % tokens"))
             .select(*levels, F.col("tokens").alias("leaf_tokens"), "whole_epochs", "part"))
+    return stored(plan, "leaf-budgets")  # measured as small, so rows need not move to meet it
 
 
 def mixture(docs: DataFrame, levels: dict[str, Column], weights: dict[tuple[str, ...], int], share: tuple[int, int],
@@ -146,6 +145,7 @@ def mixed_documents(docs: DataFrame, levels: dict[str, Column], weights: dict[tu
     reach = taken.groupBy(*names, "epoch").agg(F.max(key).alias("_reach")).select(*(F.col(n).alias(f"_{n}") for n in names), F.col("epoch").alias("_epoch"), "_reach")
     epochs = (reach.groupBy(*(f"_{n}" for n in names))
               .agg(F.map_from_entries(F.collect_list(F.struct("_epoch", "_reach"))).alias("_reaches")))  # at most max_epochs entries
+    epochs = stored(epochs, "reaches")  # as above: the texts stay where they are
     rows = _with_levels(docs, levels, word_count(F.col("text"))).where("_tokens > 0").join(epochs, [f"_{n}" for n in names])
     rows = rows.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode("_reaches").alias("_epoch", "_reach"))
     return rows.where(_order(seed, F.col("_epoch"), F.col("doc_id")) <= F.col("_reach")).select(*(F.col(f"`{c}`") for c in docs.columns))

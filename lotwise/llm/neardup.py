@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import annotated, stored
+from lotwise.llm.base import annotated, join_counted, stored
 from lotwise.llm.components import components
 from lotwise.llm.words import Hasher, scramble, spaced, texts_of, words_of
 
 ROWS, BANDS = 5, 32
 MARGIN = 0.19     # a signature may fall short of the similarity by six standard deviations
 _CHUNK = 1024     # members of a bucket that are compared with so many others at a time
+_TASK_PAIRS = 1 << 22
+_MOST_TASKS = 2000
 _U = np.uint64
 
 
@@ -180,7 +182,7 @@ def _side(group, left: bool):
     return some, signs
 
 
-def _across(buckets: DataFrame, classes: DataFrame, texts: DataFrame, found: DataFrame, size: int, threshold: int,
+def _across(shared: DataFrame, classes: DataFrame, texts: DataFrame, found: DataFrame, size: int, threshold: int,
             rows: int) -> DataFrame:
     """Links (a, b) between different components within a bucket (``found``: node, component).
 
@@ -189,18 +191,22 @@ def _across(buckets: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
     members that have a candidate at all; only their texts are fetched, and a second pass confirms on full sets.
     No pass gives out more rows than it has read.
     """
-    placed = (buckets.join(found, F.col("doc") == F.col("node"), "left")
-              .select("band", "bucket", "doc", F.coalesce("component", "doc").alias("component")))
     # Two members were compared when the pairs were made; only larger buckets can hide a link.
-    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
-    several = several.where("x <> y and members > 2").select("bucket", "members")
-    mixed = stored(placed.join(several, "bucket"), "mixed-buckets")
+    placed = (shared.where("members > 2").join(found, F.col("doc") == F.col("node"), "left")
+              .select("band", "bucket", "doc", "members", F.coalesce("component", "doc").alias("component")))
+    placed = stored(placed, "large-buckets")
+    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    mixed = stored(placed.join(stored(several, "several"), "bucket"), "mixed-buckets")
     main = (mixed.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket")
             .agg(F.max(F.struct("n", "component")).alias("m")).select("bucket", F.col("m.component").alias("main")))
-    dealt = mixed.join(main, "bucket").withColumn("rest", F.col("component") != F.col("main"))
+    dealt = mixed.join(stored(main, "main-components"), "bucket").withColumn("rest", F.col("component") != F.col("main"))
+    # Work goes by pairs, which the bytes of a group do not tell.
+    pairs = dealt.agg(F.sum(F.when(F.col("rest"), F.col("members")))).first()[0] or 0
+    parts = min(pairs // _TASK_PAIRS + 1, _MOST_TASKS)
     dealt = (dealt.withColumn("chunks", F.ceil(F.col("members") / _CHUNK).cast("int"))
              .withColumn("chunk", F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int"))
              .join(classes.select("doc", "n_shingles", "signature"), "doc"))
+    dealt = stored(dealt, "dealt-members")
     every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     kept = ["band", "doc", "component", "rest", "n_shingles", "signature"]
     left = dealt.where("rest").select("bucket", F.col("chunk").alias("of_rest"), every.alias("of_all"), F.lit(True).alias("left"), *kept)
@@ -241,10 +247,10 @@ def _across(buckets: DataFrame, classes: DataFrame, texts: DataFrame, found: Dat
         return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
 
     by = ["bucket", "of_rest", "of_all"]
-    close = stored(groups.groupBy(*by).applyInPandas(involved, groups.schema), "close-members")
+    close = stored(groups.repartition(parts, *by).groupBy(*by).applyInPandas(involved, groups.schema), "close-members")
     nodes = close.select("doc").distinct()
     whole = stored(texts.join(nodes.hint("merge"), "doc").select("doc", "text").distinct(), "member-texts")
-    links = close.join(whole, "doc").groupBy(*by).applyInPandas(confirmed, "a long, b long")
+    links = close.join(whole, "doc").repartition(parts, *by).groupBy(*by).applyInPandas(confirmed, "a long, b long")
     return stored(links.distinct(), "cross-links")
 
 
@@ -254,9 +260,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, bands:
     sketches = stored(annotated(texts, ["doc"], _sketcher(size, bands, rows),
                                 "n_shingles long, fingerprint binary, signature binary"), "sketches")
     named = sketches.where("doc is not null and fingerprint is not null")
-    class_of = named.groupBy("fingerprint").agg(F.min("doc").alias("class"))
-    members = stored(named.select("doc", "fingerprint", "n_shingles").join(class_of, "fingerprint")
-                     .select("doc", "class", "fingerprint"), "classes")
+    class_of = (named.groupBy("fingerprint").agg(F.min("doc").alias("class"), F.count("*").alias("copies")).where("copies > 1"))
+    members = join_counted(named.select("doc", "fingerprint"), stored(class_of, "copies"), "fingerprint", "copies")
+    members = stored(members.select("doc", F.coalesce("class", "doc").alias("class"), "fingerprint"), "classes")
     firsts = members.where("doc = class").distinct()
     classes = stored(named.join(firsts.select("doc", "fingerprint"), ["doc", "fingerprint"])
                      .dropDuplicates(["doc", "fingerprint"]).select("doc", "n_shingles", "signature"), "class-sketches")
@@ -265,12 +271,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, bands:
             .join(members, "doc").select(F.col("class").alias("a"), F.col("x").alias("b")).where("a <> b"))
     buckets = _band_keys(classes, bands, rows)
     centres = buckets.groupBy("bucket").agg(F.min("doc").alias("b"), F.count("*").alias("members")).where("members > 1")
-    stars = (buckets.join(centres.select("bucket", "b"), "bucket").where("doc <> b")
-             .select(F.col("doc").alias("a"), "b").distinct())
-    links = _confirm(_agreement(stars, classes, threshold), texts, size, threshold).unionByName(tied)
+    shared = stored(join_counted(buckets, stored(centres, "centres"), "bucket", "members").where("members is not null"), "shared-buckets")
+    stars = shared.where("doc <> b").select(F.col("doc").alias("a"), "b").distinct()
+    links = _confirm(_agreement(stored(stars, "stars"), classes, threshold), texts, size, threshold).unionByName(tied)
     links = stored(links, "star-links")
     found = stored(components(links), "components")
-    more = _across(buckets, classes, texts, found, size, threshold, rows)
+    more = _across(shared, classes, texts, found, size, threshold, rows)
     if not more.isEmpty():
         joined = found.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b").unionByName(more)
         found = stored(components(joined), "components")
