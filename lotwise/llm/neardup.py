@@ -34,7 +34,7 @@ from lotwise.llm.words import Hasher, scramble, spaced, texts_of, words_of
 ROWS, BANDS = 5, 32
 MARGIN = 0.19     # a signature may fall short of the similarity by six standard deviations
 _CHUNK = 1024     # members of a bucket that are compared with so many others at a time
-_TASK_PAIRS = 1 << 22
+_TASK_PAIRS = 1 << 16
 _MOST_TASKS = 2000
 _U = np.uint64
 
