@@ -78,15 +78,26 @@ def lanes(lengths: np.ndarray, most: int = LANES) -> list[list[int]]:
     return out
 
 
+def _logits(held: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Logits of each row of ``held`` (states and a one), moved so that their exponentials neither overflow nor vanish.
+
+    States lie between -1 and 1, which bounds all logits at once; the largest of each row is only sought if that bound is wide.
+    """
+    reach = np.abs(weights).sum(0).max()
+    x = held @ np.concatenate([weights, (bias - (bias.max() + reach))[None, :]])
+    if reach > 30:
+        x -= x.max(1, keepdims=True)
+    return x
+
+
 def _softmax(x: np.ndarray, chosen: np.ndarray, back: bool) -> np.ndarray:
     """Log-probability of the chosen place of each row; on request ``x`` becomes the gradient of their sum."""
     each = np.arange(len(x))
-    x -= x.max(1, keepdims=True)
     out = x[each, chosen]
     np.exp(x, out=x)
-    total = x.sum(1)
+    total = x @ np.ones(x.shape[1], x.dtype)
     if back:
-        x /= -total[:, None]
+        x *= (-1 / total)[:, None]
         x[each, chosen] += 1
     return out - np.log(total)
 
@@ -112,26 +123,30 @@ def _forward(w, inputs, fresh, state):
 def _outputs(w, states, targets, back: bool):
     """Log-probability of each target number; on request the gradients of their sum."""
     group = targets // MEMBERS
-    d = states @ w["to_class"] + w["class_bias"]
-    out = _softmax(d, group, back).astype(np.float64)
+    order = np.argsort(group, kind="stable")
+    group, member = group[order], (targets % MEMBERS)[order]
+    held = np.concatenate([states[order], np.ones((len(states), 1), states.dtype)], 1)   # the one meets the bias
+    d = _logits(held, w["to_class"], w["class_bias"])
+    logs = _softmax(d, group, back).astype(np.float64)
     grads, pull = {}, None
     if back:
-        grads = {"to_class": states.T @ d, "class_bias": d.sum(0), "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
-        pull = d @ w["to_class"].T
-    order = np.argsort(group, kind="stable")
-    held, member = states[order], (targets % MEMBERS)[order]
-    logs, pulls = np.empty(len(targets), states.dtype), np.empty_like(states)
-    ends = np.searchsorted(group[order], np.arange(len(w["to_word"]) + 1))
+        both = held.T @ d
+        grads = {"to_class": both[:-1], "class_bias": both[-1], "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
+        pulls = d @ w["to_class"].T
+    ends = np.searchsorted(group, np.arange(len(w["to_word"]) + 1))
     for c in np.flatnonzero(np.diff(ends)).tolist():
         mine = slice(ends[c], ends[c + 1])
-        d = held[mine] @ w["to_word"][c] + w["word_bias"][c]
-        logs[mine] = _softmax(d, member[mine], back)
+        d = _logits(held[mine], w["to_word"][c], w["word_bias"][c])
+        logs[mine] += _softmax(d, member[mine], back)
         if back:
-            grads["to_word"][c], grads["word_bias"][c] = held[mine].T @ d, d.sum(0)
-            pulls[mine] = d @ w["to_word"][c].T
-    out[order] += logs
+            both = held[mine].T @ d
+            grads["to_word"][c], grads["word_bias"][c] = both[:-1], both[-1]
+            pulls[mine] += d @ w["to_word"][c].T
+    out = np.empty_like(logs)
+    out[order] = logs
     if back:
-        pull[order] += pulls
+        pull = np.empty_like(pulls)
+        pull[order] = pulls
     return out, grads, pull
 
 
