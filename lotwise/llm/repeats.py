@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import stored
+from lotwise.llm.base import join_counted, stored
 from lotwise.llm.words import Hasher, scramble, texts_of
 
 RUN = 16
@@ -150,11 +150,11 @@ def _spans(rows: DataFrame, first, last, length: int) -> DataFrame:
 def _pass(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Rows of groups with more than one row, and whether all of the group have one value.
 
-    The counts are written first: both sides of the join are then plain shuffles, and a hot group's rows can be split.
+    The counts are written first; rows of a hot group stay where they are.
     """
-    counted = (rows.groupBy(group).agg(F.count("*").alias("n"), F.min(value).alias("x"), F.max(value).alias("y"))
-               .where("n > 1").select(group, (F.col("x") == F.col("y")).alias("same")))
-    return rows.join(stored(counted, "groups").hint("merge"), group)
+    counted = (rows.groupBy(group).agg(F.count("*").alias("times"), F.min(value).alias("x"), F.max(value).alias("y"))
+               .where("times > 1").select(group, "times", (F.col("x") == F.col("y")).alias("same")))
+    return join_counted(rows, stored(counted, "groups"), group, "times").where("times is not null").drop("times")
 
 
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
@@ -166,7 +166,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     mixed = anchors.where("not same").drop("same")
     # Equal surroundings settle their members; one of them still stands for all in the next passes.
     members = mixed.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "print", "at")).alias("one"))
-    mixed = stored(mixed.join(stored(members, "members").hint("merge"), ["anchor", "around"]), "mixed-anchors")
+    mixed = stored(join_counted(mixed, stored(members, "members"), ["anchor", "around"], "n"), "mixed-anchors")
     spans = spans.unionByName(_spans(mixed.where("n > 1"), F.col("first"), F.col("last"), length))
     going = (mixed.where(F.struct("doc_id", "print", "at") == F.col("one"))
              .groupBy("doc_id", "print").agg(F.collect_set(F.struct("anchor", "at", "first", "last", (F.col("n") > 1).alias("settled"))).alias("anchors")))
@@ -179,7 +179,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     spans = spans.unionByName(_spans(runs.where("same and not settled"), *ends, length))
     mixed = runs.where("not same")
     members = mixed.groupBy("digit", "value").agg(F.count("*").alias("n"))
-    mixed = stored(mixed.join(members, ["digit", "value"]), "mixed-runs")
+    mixed = stored(join_counted(mixed, stored(members, "members"), ["digit", "value"], "n"), "mixed-runs")
     spans = spans.unionByName(_spans(mixed.where("n > 1 and not settled"), *ends, length))
     # The last digit: a window's own bytes beside the common ones lie next to each other in ``beyond``.
     one = mixed.dropDuplicates(["digit", "value"])
@@ -221,11 +221,12 @@ def _remove(with_text: bool):
 
 
 def without_repeats(docs: DataFrame, length: int = 400, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs`` (doc_id, text), on request with the
-    bytes kept; a cut may fall inside a character, so they are binary."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeated) of every row of ``docs`` (doc_id, text), on request with the
+    bytes kept; a cut may fall inside a character, so they are binary. ``repeated`` tells that bytes were removed."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
     found = repeated_spans(docs, length).select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "spans")
     rows = docs.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left")
     kinds = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return rows.select("doc_id", "text", "spans").mapInArrow(_remove(with_text), kinds)
+    out = rows.select("doc_id", "text", "spans").mapInArrow(_remove(with_text), kinds)
+    return out.withColumn("repeated", F.col("n_removed") > 0)
