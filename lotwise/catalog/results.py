@@ -33,7 +33,8 @@ def scaled_samples(v: Views) -> DataFrame:
 
 
 def _linear_windows(v: Views) -> DataFrame:
-    return models.fit_linear(_share(scaled_samples(v), "train")).withColumn("n_coefficients", F.size("coefficients"))
+    fitted = models.fit_linear(_share(scaled_samples(v), "train"))
+    return fitted.select(LOT, "horizon", "intercept", F.posexplode("coefficients").alias("position", "coefficient"))
 
 
 def _simple_samples(v: Views) -> DataFrame:
@@ -200,11 +201,25 @@ def _group_sql(*keys: str) -> str:
                from training group by all"""
 
 
+def _area_sql(low: str) -> str:
+    """Simpson's sum of cos^(freedom - 1) from ``low`` to ``top``; Student's distribution over the angle atan(t / sqrt(freedom))."""
+    return f"""(select sum(case when k in (0, 2000) then 1 when k % 2 = 1 then 4 else 2 end
+                * greatest(cos({low} + k * (top - {low}) / 2000), 0) ** (freedom - 1)) * (top - {low}) / 6000 from range(0, 2001) s(k))"""
+
+
+_PEARSON_SQL = f"""
+    select column_name, r, t_value, n_values, p_value, p_value < 0.05 significant
+    from (select *, case when angle >= top then 0 else {_area_sql('angle')} / {_area_sql('0')} end p_value
+          from (select *, atan(abs(t_value) / sqrt(freedom)) angle, least(pi() / 2, 12 / sqrt(freedom)) top
+                from (select column_name, r, r * sqrt((n - 2) / (1 - r * r)) t_value, n n_values, n - 2 freedom from ("""  + " union all ".join(
+    f"""select '{c}' column_name, corr({c}, avg_free_spaces) r, count(*) n from training
+        where {c} is not null and avg_free_spaces is not null""" for c in explore.WEATHER) + "))))"
+
 _MEANS = "mean_free_spaces:d std_free_spaces:d mean_temperature:d mean_precipitation:d"
 
 ENTRIES = {
     "fit_linear": Entry("parking_lot_id:i horizon:i intercept:d slope:d", _linear, _LINES + " select * from lines"),
-    "fit_linear_windows": Entry("parking_lot_id:i horizon:i intercept:d n_coefficients:i", _linear_windows),
+    "fit_linear_windows": Entry("parking_lot_id:i horizon:i intercept:d position:i coefficient:d", _linear_windows),
     "fit_random_forest": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
         lambda v: _tree_quality(v, models.fit_random_forest)),
@@ -383,11 +398,7 @@ ENTRIES = {
         " union all ".join(f"select '{a}' column_a, '{b}' column_b, corr({a}, {b}) correlation from training"
                            for a in _COLUMNS for b in _COLUMNS)),
     "pearson_test": Entry(
-        "column_name:s r:d t_value:d n_values:i", lambda v: explore.pearson_test(v.training),
-        " union all ".join(f"""
-        select '{c}' column_name, r, r * sqrt((n - 2) / (1 - r * r)) t_value, n n_values
-        from (select corr({c}, avg_free_spaces) r, count(*) n from training where {c} is not null and avg_free_spaces is not null)"""
-                           for c in explore.WEATHER)),
+        "column_name:s r:d t_value:d p_value:d n_values:i significant:b", lambda v: explore.pearson_test(v.training), _PEARSON_SQL),
     "unscored_lots": Entry(
         "parking_lot_id:i reason:s", _unscored,
         """select parking_lot_id, case when parking_lot_id = 0 then 'no ranges' when parking_lot_id = 1 then 'no first_model'
