@@ -27,7 +27,7 @@ def test_equals_sql(spark, con, name):
 def test_queries_are_registered():
     import __spark_entry__ as contract
     registered = contract.queries()
-    assert all(any(re.match(rf"op{n}_", q) for q in registered) for n in range(1, 11)) and "pipeline" in registered
+    assert all(any(re.match(rf"op{n}_", q) for q in registered) for n in range(1, 14)) and "pipeline" in registered
 
 
 def test_pipeline_stages(spark):
