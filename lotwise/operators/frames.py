@@ -21,7 +21,7 @@ SLOT_SECONDS = 30 * DAY
 SLOT_ROWS = 1000
 
 
-def _spread(df: DataFrame, position: Column, slot: int, before: int, after: int) -> DataFrame:
+def copied_to_slots(df: DataFrame, position: Column, slot: int, before: int, after: int) -> DataFrame:
     """Copies each row into its home slot and into the slots whose frames reach it."""
     home = F.floor(position / slot).cast("long")
     first = F.floor((position - after) / slot).cast("long")
@@ -43,7 +43,7 @@ def over_time(df: DataFrame, ts: str, build: Build, before: int = 0, after: int
 
     The window is ordered by microseconds, so range frames are given in microseconds.
     """
-    spread = _spread(df, F.unix_seconds(ts), slot, before, after)
+    spread = copied_to_slots(df, F.unix_seconds(ts), slot, before, after)
     return _apply(spread, list(keys), [F.unix_micros(ts)], build)
 
 
@@ -70,7 +70,7 @@ def over_rows(df: DataFrame, ts: str, build: Build, before: int = 0, after: int
               keys: tuple[str, ...] = (LOT,), slot: int = SLOT_ROWS, keep_row: bool = False,
               total: str | None = None) -> DataFrame:
     """Window columns whose frames reach at most ``before``/``after`` rows."""
-    spread = _spread(numbered(df, ts, keys, total=total), F.col("_row"), slot, before, after)
+    spread = copied_to_slots(numbered(df, ts, keys, total=total), F.col("_row"), slot, before, after)
     result = _apply(spread, list(keys), [F.col("_row")], build)
     return result if keep_row else result.drop("_row")
 

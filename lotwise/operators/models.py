@@ -57,6 +57,15 @@ def _cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows()
 
 
+def least_squares(xx: np.ndarray, xy: np.ndarray, mean_x: np.ndarray, mean_y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of smallest norm and intercepts, from centred products and means."""
+    values, vectors = np.linalg.eigh(xx)
+    kept = values > values.max() * len(xx) * np.finfo(float).eps
+    inverse = np.where(kept, 1 / np.where(kept, values, 1), 0)
+    weights = vectors @ (inverse[:, None] * (vectors.T @ xy))
+    return weights, mean_y - mean_x @ weights
+
+
 def _solve(rows: pd.DataFrame) -> pd.DataFrame:
     """Least squares of smallest norm from the summed products of one lot."""
     products = np.vstack(rows.sort_values("r")["products"].to_numpy())
@@ -65,11 +74,7 @@ def _solve(rows: pd.DataFrame) -> pd.DataFrame:
     mean_x, mean_y = products[p, :p] / n, products[p, p + 1:] / n
     xx = products[:p, :p] - n * np.outer(mean_x, mean_x)
     xy = products[:p, p + 1:] - n * np.outer(mean_x, mean_y)
-    values, vectors = np.linalg.eigh(xx)
-    kept = values > values.max() * p * np.finfo(float).eps
-    inverse = np.where(kept, 1 / np.where(kept, values, 1), 0)
-    weights = vectors @ (inverse[:, None] * (vectors.T @ xy))
-    intercepts = mean_y - mean_x @ weights
+    weights, intercepts = least_squares(xx, xy, mean_x, mean_y)
     return pd.DataFrame({LOT: rows[LOT].iloc[0], "horizon": range(1, len(intercepts) + 1),
                          "intercept": intercepts, "coefficients": list(weights.T)})
 

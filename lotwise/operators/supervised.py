@@ -84,6 +84,16 @@ def flatten_window(padded: DataFrame, features: list[str] | None = None) -> Data
             .select(LOT, "origin", F.flatten(F.transform("_s", lambda s: s["x"])).alias("window")))
 
 
+def share_of(past: int, horizon: int, train: float, validation: float) -> Column:
+    """The split of the row ``_row`` of a lot's ``_rows``, by its place among the lot's possible origins."""
+    samples = F.col("_rows") - (past + horizon - 1)
+    # Shares in whole thousandths, so that the borders do not depend on binary fractions.
+    place = (F.col("_row") - past) * 1000
+    return (F.when(place < samples * round(train * 1000) - 999, "train")
+            .when(place < samples * round((train + validation) * 1000) - 999, "validation")
+            .otherwise("test"))
+
+
 def supervised_windows(frame: DataFrame, past: int = PAST_HOURS, horizon: int = HORIZON_HOURS,
                        features: list[str] | None = None, target: str = "avg_free_spaces",
                        train: float = 0.7, validation: float = 0.15) -> DataFrame:
@@ -102,12 +112,7 @@ def supervised_windows(frame: DataFrame, past: int = PAST_HOURS, horizon: int =
         "targets": F.collect_list("_y").over(w.rowsBetween(1, horizon)),
         "_known": F.sum("_seen").over(w.rowsBetween(1, horizon))},
         before=past - 1, after=horizon, keep_row=True, total="_rows")
-    samples = F.col("_rows") - (past + horizon - 1)
-    # Shares in whole thousandths, so that the borders do not depend on binary fractions.
-    place = (F.col("_row") - past) * 1000
-    split = (F.when(place < samples * round(train * 1000) - 999, "train")
-             .when(place < samples * round((train + validation) * 1000) - 999, "validation")
-             .otherwise("test"))
+    split = share_of(past, horizon, train, validation)
     full = (F.size("window") == past * len(features)) & (F.col("_known") == horizon)
     return (sampled.where(full)
             .select(LOT, F.col(TS).alias("origin"), split.alias("split"), "window", "targets"))
