@@ -104,6 +104,9 @@ def _best(histogram: np.ndarray) -> tuple[float, int, int, np.ndarray] | None:
     with np.errstate(divide="ignore", invalid="ignore"):
         score = (low[..., 2:] ** 2).sum(-1) / low[..., 1] + (high[..., 2:] ** 2).sum(-1) / high[..., 1]
     score[(low[..., 0] < 0.5) | (high[..., 0] < 0.5)] = -np.inf
+    # Splits that part the rows alike differ by the order of their sums only: at thirty bits they tie, and the first one is taken.
+    part, power = np.frexp(score)
+    score = np.ldexp(np.round(part * 2.0 ** 30), power - 30)
     base = (total[0, 0, 2:] ** 2).sum() / total[0, 0, 1]
     place = int(score.argmax())
     if not score.flat[place] > base * (1 + 1e-9) + 1e-12:
