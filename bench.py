@@ -13,8 +13,8 @@ import time
 
 from lotwise.catalog.inputs import stays
 from lotwise.catalog.registry import ENTRIES
-from lotwise.catalog.results import scaled_samples
-from lotwise.operators import models
+from lotwise.catalog.results import scaled_samples, training_hours
+from lotwise.operators import lagged, models
 from lotwise.plans.fixtures import Views
 from lotwise.plans.training import prepare_training_data
 from lotwise.session import build_session, scratch_path, stored
@@ -56,10 +56,15 @@ def main() -> None:
 
     # Model steps on stored samples of all lots: 48 hours of 20 inputs, 24 horizons.
     samples: list = []
-    timed("model_samples", lambda: samples.append(scaled_samples(views)))
-    train, rest = samples[0].where("split = 'train'"), samples[0].where("split <> 'train'")
+
+    def prepare_samples() -> None:
+        samples.append(training_hours(views))
+        samples.append(scaled_samples(views, samples[0]))
+    timed("model_samples", prepare_samples)
+    (hours, ranges, _), scaled = samples
+    train, rest = scaled.where("split = 'train'"), scaled.where("split <> 'train'")
     fitted: dict = {}
-    timed("fit_linear", lambda: fitted.update(linear=stored(models.fit_linear(train), "model")))
+    timed("fit_linear", lambda: fitted.update(linear=stored(lagged.fit_linear_hours(hours, ranges), "model")))
     timed("fit_random_forest", lambda: fitted.update(forest=models.fit_random_forest(train)))
     timed("fit_gradient_boosting", lambda: fitted.update(boosted=models.fit_gradient_boosting(train)))
     for name, model in fitted.items():

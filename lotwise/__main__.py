@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import argparse
 
-from lotwise.operators.models import fit_gradient_boosting, fit_linear, fit_random_forest
+from lotwise.operators.models import fit_gradient_boosting, fit_random_forest
 from lotwise.plans.forecast import forecast, train_hybrid
 from lotwise.plans.online import transform_last_hour
 from lotwise.plans.store import load_hybrid, save_hybrid, store_forecast
@@ -47,7 +47,7 @@ def main() -> None:
         transform_last_hour(table(args.minute), table(args.weather), args.hourly, args.features, args.as_of)
     elif args.command == "train":
         trees = fit_random_forest if args.trees == "forest" else fit_gradient_boosting
-        save_hybrid(spark, train_hybrid(table(args.features).drop("date"), fit_linear, trees), args.out)
+        save_hybrid(spark, train_hybrid(table(args.features).drop("date"), None, trees), args.out)
     else:
         rows, wide, _ = forecast(table(args.features).drop("date"), load_hybrid(spark, args.model), table(args.lots), args.name)
         store_forecast(rows, wide, args.rows, args.wide)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from lotwise.catalog.entry import Entry
 from lotwise.catalog.oracle import (MODEL_CODES, MODEL_LABELS, ONLINE_LABELS, TRAINING_LABELS, WEATHER_NAMES, columns,
                                     filled)
-from lotwise.operators import blending, categories, features, joins, rollups, supervised
+from lotwise.operators import blending, categories, features, joins, lagged, rollups, supervised
 from lotwise.plans.fixtures import Views
 from lotwise.schemas import HYBRID_FEATURES, LAG_ROWS, LOT, MODEL_FEATURES, MODEL_VOCABULARY, MOVING_AVERAGE_ROWS, TREND_ROWS
 from lotwise.session import stored
@@ -93,8 +93,9 @@ def _flat(v: Views) -> DataFrame:
 
 def _scaled(v: Views) -> DataFrame:
     """Ranges fitted on all samples, applied to the newest window of each lot, long form."""
-    stats = stored(supervised.fit_minmax(_samples(v)), "ranges")
-    newest = supervised.flatten_window(supervised.pad_window(v.frame))
+    frame = stored(v.frame, "frame")
+    stats = stored(lagged.fit_ranges(lagged.sample_hours(frame), splits=("train", "validation", "test")), "ranges")
+    newest = supervised.flatten_window(supervised.pad_window(frame))
     scaled = supervised.minmax_per_timestep(newest, stats).join(stats, LOT)
     return scaled.select(LOT, F.posexplode(F.arrays_zip("window", "low", "high")).alias("position", "z")).select(
         LOT, "position", F.col("z.window").alias("scaled"), F.col("z.low").alias("low"), F.col("z.high").alias("high"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.catalog.entry import Entry
 from lotwise.catalog.oracle import NOW, WEATHER_NAMES
-from lotwise.operators import blending, explore, models, monitoring, serving, supervised
+from lotwise.operators import blending, explore, lagged, models, monitoring, serving, supervised
 from lotwise.plans.fixtures import AS_OF, Views
 from lotwise.schemas import HORIZON_HOURS, LOT, TEMPERATURE_LABELS
 from lotwise.session import stored
@@ -18,25 +20,44 @@ _COLUMNS = ["avg_free_spaces", "temperature_2m", "relative_humidity_2m", "precip
 _WEATHER = _COLUMNS[1:]
 
 
-def samples(v: Views) -> DataFrame:
-    return stored(supervised.supervised_windows(v.frame), "samples")
-
-
 def _share(rows: DataFrame, split: str) -> DataFrame:
     return rows.where(F.col("split") == split)
 
 
-def scaled_samples(v: Views) -> DataFrame:
-    rows = samples(v)
-    ranges = stored(supervised.fit_minmax(_share(rows, "train")), "ranges")
-    return stored(supervised.minmax_per_timestep(rows, ranges), "scaled")
+def scaled_samples(v: Views, training: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+    _, ranges, frame = training or training_hours(v)
+    return stored(supervised.minmax_per_timestep(supervised.supervised_windows(frame), ranges), "scaled")
+
+
+def training_hours(v: Views) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hours with their samples marked, the ranges of the training share, and the frame both come from."""
+    frame = stored(v.frame, "frame")
+    hours = stored(lagged.sample_hours(frame), "hours")
+    return hours, stored(lagged.fit_ranges(hours), "ranges"), frame
 
 
 def _linear_windows(v: Views) -> DataFrame:
-    fitted = models.fit_linear(_share(scaled_samples(v), "train"))
+    hours, ranges, _ = training_hours(v)
+    fitted = lagged.fit_linear_hours(hours, ranges)
     return fitted.select(LOT, "horizon", "intercept", F.posexplode("coefficients").alias("position", "coefficient"))
 
 
+def _linear_moments(v: Views) -> DataFrame:
+    """Residuals of the training share against every scaled input: a least-squares fit leaves no moment with any."""
+    hours, ranges, frame = training_hours(v)
+    rows = stored(_share(supervised.minmax_per_timestep(supervised.supervised_windows(frame), ranges), "train"), "scaled")
+    model = lagged.fit_linear_hours(hours, ranges)
+    judged = _judged(models.predict_long(model, rows), rows).select(
+        LOT, "origin", "horizon", (F.col("actual") - F.col("prediction")).alias("_e"))
+    moments = rows.select(LOT, "origin", "window").join(judged, [LOT, "origin"]).select(
+        LOT, "horizon", "_e", array_to_vector(F.transform("window", lambda z: z * F.col("_e"))).alias("_m"))
+    sums = moments.groupBy(LOT, "horizon").agg(F.count("*").alias("n_samples"), F.avg("_e").alias("mean_residual"),
+                                               Summarizer.metrics("mean").summary(F.col("_m")).alias("_s"))
+    largest = F.array_max(F.transform(vector_to_array("_s.mean"), F.abs))
+    return sums.select(LOT, "horizon", "n_samples", "mean_residual", F.size(vector_to_array("_s.mean")).alias("n_inputs"),
+                       largest.alias("largest_moment"))
+
+
 def _simple_samples(v: Views) -> DataFrame:
     """Samples with one input, the current hour's value, whose regression SQL can check."""
     return stored(supervised.supervised_windows(v.frame, past=1, features=["avg_free_spaces"]), "samples")
@@ -220,6 +241,11 @@ _MEANS = "mean_free_spaces:d std_free_spaces:d mean_temperature:d mean_precipita
 ENTRIES = {
     "fit_linear": Entry("parking_lot_id:i horizon:i intercept:d slope:d", _linear, _LINES + " select * from lines"),
     "fit_linear_windows": Entry("parking_lot_id:i horizon:i intercept:d position:i coefficient:d", _linear_windows),
+    "linear_window_residuals": Entry(
+        "parking_lot_id:i horizon:i n_samples:i n_inputs:i mean_residual:m largest_moment:m", _linear_moments,
+        _LINES + """ select a.parking_lot_id, h.h horizon, count(*) n_samples, 960 n_inputs, 0.0 mean_residual, 0.0 largest_moment
+                     from steps a join range(1, 25) h(h) on true
+                     where a.known = 24 and a.since >= 47 and a.since - 47 < floor((a.m - 47) * 0.7) group by all"""),
     "fit_random_forest": Entry(
         "parking_lot_id:i split:s horizon:i n_samples:i rmse:d mae:d r2:d mape:d",
         lambda v: _tree_quality(v, models.fit_random_forest)),

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.catalog.entry import Entry
 from lotwise.catalog.inputs import _snapshot_documents
-from lotwise.catalog.results import samples
-from lotwise.operators import models, supervised
+from lotwise.operators import lagged
 from lotwise.plans.fixtures import Views
 from lotwise.schemas import HOURLY, LOT
 from lotwise.session import scratch_path, stored
@@ -59,11 +58,10 @@ def _features(v: Views) -> DataFrame:
 
 def _scored(v: Views) -> DataFrame:
     """Two linear models, fitted on different spans, score the lots of each landed batch."""
-    rows = samples(v)
-    stats = stored(supervised.fit_minmax(rows.where("split = 'train'")), "ranges")
-    scaled = stored(supervised.minmax_per_timestep(rows, stats), "scaled")
-    a = stored(models.fit_linear(scaled.where("split = 'train'")), "model")
-    b = stored(models.fit_linear(scaled.where("split <> 'test'")), "model")
+    hours = stored(lagged.sample_hours(v.frame), "hours")
+    stats = stored(lagged.fit_ranges(hours), "ranges")
+    a = stored(lagged.fit_linear_hours(hours, stats), "model")
+    b = stored(lagged.fit_linear_hours(hours, stats, splits=("train", "validation")), "model")
     features = scratch_path(v.spark, "feature-log")
     predictions = scratch_path(v.spark, "prediction-log")
     online = v.online

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.operators.blending import (blend_predictions, fit_alpha, prediction_summary, prediction_wide,
                                         regression_metrics)
+from lotwise.operators.lagged import fit_linear_hours, fit_ranges, sample_hours
 from lotwise.operators.models import TreeForecaster, predict_long
-from lotwise.operators.supervised import fit_minmax, minmax_per_timestep, model_frame, supervised_windows
+from lotwise.operators.supervised import minmax_per_timestep, model_frame, supervised_windows
 from lotwise.schemas import LOT
 from lotwise.session import stored
 from lotwise.streaming.feeds import score_latest
@@ -35,16 +36,18 @@ def _targets(rows: DataFrame) -> DataFrame:
         LOT, "origin", "split", (F.col("_i") + 1).alias("horizon"), "actual")
 
 
-def train_hybrid(features: DataFrame, fit_a: Fit, fit_b: Fit) -> Hybrid:
+def train_hybrid(features: DataFrame, fit_a: Fit | None, fit_b: Fit | None) -> Hybrid:
     """Fits both models on the training share, the weights on the validation share.
 
-    Samples, predictions and models are stored between the jobs that read them.
+    A fit gets the scaled windows; without one, the linear model is taken from the hourly rows.
+    Hours, scaled samples, predictions and models are stored between the jobs that read them.
     """
-    rows = stored(supervised_windows(stored(model_frame(stored(features, "features")), "frame")), "samples")
-    stats = stored(fit_minmax(rows.where("split = 'train'")), "ranges")
-    scaled = stored(minmax_per_timestep(rows, stats), "scaled")
+    frame = stored(model_frame(stored(features, "features")), "frame")
+    hours = stored(sample_hours(frame), "hours")
+    stats = stored(fit_ranges(hours), "ranges")
+    scaled = stored(minmax_per_timestep(supervised_windows(frame), stats), "scaled")
     train, rest = scaled.where("split = 'train'"), scaled.where("split <> 'train'")
-    models = [fit(train) for fit in (fit_a, fit_b)]
+    models = [fit(train) if fit else fit_linear_hours(hours, stats) for fit in (fit_a, fit_b)]
     models = [stored(m, "model") if isinstance(m, DataFrame) else m for m in models]
     a, b = [stored(predict_long(m, rest), "predictions") for m in models]
     actual = stored(_targets(rest), "targets")

@@ -19,7 +19,8 @@ def test_equals_sql(spark, con, name):
     assert difference(entry.run(spark, FOLDER), con, entry.sql()) is None
 
 
-@pytest.mark.parametrize("name", ["supervised_windows", "minmax_per_timestep", "fit_linear", "predict_long"])
+@pytest.mark.parametrize("name", ["supervised_windows", "minmax_per_timestep", "fit_linear", "linear_window_residuals",
+                                  "predict_long"])
 def test_samples_equal_sql(spark, name):
     """The smallest tables have no 24 hours without a gap, so that samples are checked on larger ones."""
     folder = "/root/testdata/sf0.01"
