@@ -35,10 +35,17 @@ def availability_outlook(pred: DataFrame, lots: DataFrame) -> DataFrame:
 
 
 def current_status(minute: DataFrame, lots: DataFrame) -> DataFrame:
-    """The newest minute row per lot with its availability; unknown counts show as 0."""
+    """The newest minute row per lot with its availability; unknown counts show as 0.
+
+    The newest time of a lot is a hash aggregate over two columns; only the rows at that time take part in what follows,
+    so the minutes are neither sorted nor shuffled. Of several rows at that time the one with the most free spaces shows.
+    """
     fields = ["minute_timestamp", "free_spaces", "occupied_spaces", "total_spaces", "occupancy_rate",
               "parking_lot_name"]
-    newest = minute.groupBy(LOT).agg(F.max_by(F.struct(*fields), "minute_timestamp").alias("_m")).select(LOT, "_m.*")
+    last = minute.groupBy(F.col(LOT).alias("_lot")).agg(F.max("minute_timestamp").alias("_last"))
+    at_last = minute.select(LOT, *fields).join(last, F.col(LOT).eqNullSafe(F.col("_lot")) & (F.col("minute_timestamp") == F.col("_last")))
+    first = Window.partitionBy(LOT).orderBy(*(F.col(c).desc_nulls_last() for c in fields[1:]))
+    newest = at_last.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").select(LOT, *fields)
     sizes = lots.select(LOT, F.col("total_spaces").cast("long").alias("_capacity"))
     filled = newest.join(sizes, LOT, "left").withColumn("capacity", F.coalesce(
         "_capacity", F.when(F.col("total_spaces") != 0, F.col("total_spaces")), F.lit(DEFAULT_CAPACITY)))

@@ -1,14 +1,13 @@
 """The minute and hour cycles as Structured Streaming queries.
 
-Micro-batch results go to a batch log: Parquet folders by day and batch id. A replayed
-batch replaces its own folders only, so nothing already written is at risk when a job
-dies, and the newest batch of a key wins on reading.
+Micro-batch results go to batch logs (``log``): a replay changes nothing, and a batch lists and reads only the days
+that it touches.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,9 +26,8 @@ from lotwise.operators.supervised import flatten_window, minmax_per_timestep, mo
 from lotwise.schemas import HOURLY, LANDED_SNAPSHOT, LOT
 from lotwise.session import stored
 from lotwise.sources.snapshots import minute_rows, occupancy_rate, occupancy_snapshot_parse
-from lotwise.sources.tables import upsert_latest
+from lotwise.streaming.log import Sink, batch_log, days_of, log_days, next_number, read_log
 
-Sink = Callable[[DataFrame, int], None]
 
 def stream_minute_feed(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """Landed snapshot documents as rows of their lot and minute, however late they come.
@@ -42,9 +40,9 @@ def stream_minute_feed(spark: SparkSession, folder: str, max_files: int | None =
     return minute_rows(occupancy_rate(occupancy_snapshot_parse(reader.json(folder))))
 
 
-def minute_log(spark: SparkSession, path: str, schema: StructType, between: tuple[str, str] | None = None) -> DataFrame:
+def minute_log(spark: SparkSession, path: str, schema: StructType, days: Iterable[str] | None = None) -> DataFrame:
     """The logged minutes, the newest snapshot of each lot and minute."""
-    return read_log(spark, path, schema, [LOT, "minute_timestamp"], between, ["fetched_at", "sequence"])
+    return read_log(spark, path, schema, [LOT, "minute_timestamp"], days, ["fetched_at", "sequence"])
 
 
 def stream_hourly_rollup(minutes_path: str, hourly_path: str) -> Sink:
@@ -53,13 +51,13 @@ def stream_hourly_rollup(minutes_path: str, hourly_path: str) -> Sink:
 
     def roll(batch: DataFrame, batch_id: int) -> None:
         rows = stored(batch, "minutes")
-        span = rows.agg(F.date_format(F.min(minute), "yyyy-MM-dd").alias("a"), F.date_format(F.max(minute), "yyyy-MM-dd").alias("b")).first()
-        if span["a"] is None:
+        days = days_of(rows, minute)
+        if not days:
             return
         batch_log(minutes_path, minute)(rows, batch_id)
         touched = rows.select(LOT, F.date_trunc("hour", minute).alias("hour_timestamp"), F.to_date(minute).alias("_day")).distinct()
         # Late rows may span years: only the days that the batch touches are read.
-        known = (minute_log(rows.sparkSession, minutes_path, rows.schema, (span["a"], span["b"]))
+        known = (minute_log(rows.sparkSession, minutes_path, rows.schema, days)
                  .withColumn("_day", F.to_date(minute)).join(touched.select(LOT, "_day").distinct(), [LOT, "_day"], "left_semi")
                  .where(F.col("free_spaces").isNotNull()))
         hours = known.groupBy(LOT, F.date_trunc("hour", minute).alias("hour_timestamp")).agg(
@@ -73,34 +71,8 @@ def stream_hourly_rollup(minutes_path: str, hourly_path: str) -> Sink:
     return roll
 
 
-def batch_log(path: str, ts: str) -> Sink:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumns({"date": F.date_format(ts, "yyyy-MM-dd"), "batch_id": F.lit(batch_id).cast("long")})
-         .hint("rebalance", "date")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", "batch_id").parquet(path))
-    return write
-
-
-def read_log(spark: SparkSession, path: str, schema: StructType, keys: list[str],
-             between: tuple[str, str] | None = None, newest: list[str] | None = None) -> DataFrame:
-    """Newest batch per key, or the newest by the columns ``newest``; ``between`` prunes day folders."""
-    full = StructType([*schema.fields]).add("date", "string").add("batch_id", "long")
-    rows = spark.read.schema(full).parquet(path)
-    if between:
-        rows = rows.where(F.col("date").between(*between))
-    return upsert_latest(None, rows, keys, newest or ["batch_id"]).drop("date", "batch_id")
-
-
 def drain(stream: DataFrame, sink: Sink | None, checkpoint: str, path: str | None = None) -> StreamingQuery:
-    """Processes what has landed so far and stops; a restart goes on from the checkpoint.
-
-    Open windows are kept in RocksDB unless the session names another state store, so the
-    number of lots is not bound by executor heap.
-    """
-    conf, provider = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
-    if not conf.get(provider, "") or conf.get(provider).endswith("HDFSBackedStateStoreProvider"):
-        conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Processes what has landed so far and stops; a restart goes on from the checkpoint."""
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
     query = writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", path).start()
     query.awaitTermination()
@@ -120,22 +92,23 @@ def _refresh_hours(spark: SparkSession, changed: DataFrame, reach: int, weather:
                    features_path: str, lots: bool) -> None:
     """Recomputes the hours ``changed`` and the ``reach`` hours after each; hours without weather are held back.
 
-    Hours and weather refresh the same log, so its batches are numbered by the time of computing: what was computed
-    last, from all that was logged by then, wins. A replay computes again and adds equal or fresher rows.
+    Hours and weather refresh the same log, each on its own stream, so its batches take numbers from the log: what was
+    computed last, from all that was logged by then, wins. A replay computes again and adds equal or fresher rows, which
+    ``compact_log`` merges.
     """
     hour = "hour_timestamp"
     keys = [LOT, hour] if lots else [hour]
-    span = changed.agg(F.date_format(F.min(hour) - F.expr("interval 1 day"), "yyyy-MM-dd").alias("a"),
-                       F.date_format(F.max(hour) + F.expr("interval 1 day"), "yyyy-MM-dd").alias("b")).first()
-    if span["a"] is None:
+    days = days_of(changed, hour, 1, 1)
+    if not days:
         return
-    hourly = read_log(spark, hourly_path, HOURLY, [LOT, hour], (span["a"], span["b"]))
+    number = next_number(spark, features_path)
+    hourly = read_log(spark, hourly_path, HOURLY, [LOT, hour], days)
     at = seconds_floor(hour, HOUR)
     affected = (changed.select(*keys[:-1], F.explode(F.sequence(at, at + reach)).alias("_h")).distinct()
                 .select(*keys[:-1], F.timestamp_seconds(F.col("_h") * HOUR).alias(hour)))
     ready = weather.select(hour).distinct()
     features = training_features(hourly, weather).join(affected, keys, "left_semi").join(ready, hour, "left_semi")
-    batch_log(features_path, hour)(features.select(LOT, hour, *[c for c in features.columns if c not in (LOT, hour)]), time.time_ns() // 1000)
+    batch_log(features_path, hour)(features.select(LOT, hour, *[c for c in features.columns if c not in (LOT, hour)]), number)
 
 
 def stream_feature_refresh(weather: Weather, hourly_path: str, features_path: str) -> Sink:
@@ -176,25 +149,27 @@ def score_latest(features: DataFrame, stats: DataFrame, model_a: DataFrame | Tre
 
 def recent_features(spark: SparkSession, path: str, schema: StructType, lots: DataFrame, newest: str,
                     n: int = 72, days: int = 30) -> DataFrame:
-    """The last ``n`` stored hours of each of ``lots``, reading recent day folders first.
+    """The last ``n`` stored hours of each of ``lots``, reading the newest ``days`` days first.
 
-    Lots that have fewer rows in those days are looked up in the whole log, so a lot that
-    was silent for long still gets its last hours.
+    Lots that have fewer rows there are looked up in the days before, twice as many each time, until all have ``n``
+    hours or the log ends; so a lot that was silent for long still gets its last hours.
     """
     hour = "hour_timestamp"
-    first = F.date_format(F.lit(newest).cast("date") - F.expr(f"interval {days} days"), "yyyy-MM-dd")
-    start = lots.select(first.alias("d")).first()
-    if start is None:
-        return spark.createDataFrame([], schema)
-    near = recent_window(read_log(spark, path, schema, [LOT, hour], (start["d"], newest))
-                         .join(lots, LOT, "left_semi"), n)
-    known = near.groupBy(LOT).agg(F.count("*").alias("_n"))
-    short = lots.join(known, LOT, "left").where(F.coalesce("_n", F.lit(0)) < n).select(LOT)
-    if short.isEmpty():
-        return near
-    far = recent_window(read_log(spark, path, schema, [LOT, hour]).where(F.col(hour) < F.lit(start["d"]).cast("timestamp"))
-                        .join(short, LOT, "left_semi"), n)
-    return recent_window(near.unionByName(far), n)
+    first = (date.fromisoformat(newest) - timedelta(days)).isoformat()
+    held = [d for d in log_days(spark, path) if d <= newest]
+    found, short, reach = None, lots.select(LOT).distinct(), [d for d in held if d >= first]
+    earlier = held[:len(held) - len(reach)]
+    while True:
+        rows = read_log(spark, path, schema, [LOT, hour], reach).join(short, LOT, "left_semi")
+        found = stored(recent_window(rows if found is None else found.unionByName(rows), n), "recent-hours")
+        if not earlier:
+            return found
+        known = found.groupBy(LOT).agg(F.count("*").alias("_n"))
+        short = stored(lots.join(known, LOT, "left").where(F.coalesce("_n", F.lit(0)) < n).select(LOT).distinct(), "short-lots")
+        if short.isEmpty():
+            return found
+        days *= 2
+        earlier, reach = earlier[:-days], earlier[-days:]
 
 
 def stream_scoring(features_path: str, features_schema: StructType, predictions_path: str,
