@@ -6,7 +6,9 @@ far the search may jump; where it says 0, the hash of the last block selects a b
 word by word and, for hits, byte by byte. Texts are searched in lanes that walk side by side, so each step is one
 numpy operation over all of them.
 
-Items are taken in blocks of bounded size, one broadcast each; documents go through all blocks in one scan.
+Items are dealt into blocks of about ``ITEM_BLOCK_BYTES`` by a hash, and tasks build the search tables of a block. Tables
+travel as plain arrays, ``BLOCKS_A_SCAN`` blocks to a scan of the documents; so the driver and a worker hold the tables of
+some 16 MB of items at most, and only a larger benchmark takes a further scan, whose spans join those found before.
 
 Rules: a NULL or wordless text has no words and is clean; a wordless item has no pattern; an item without id counts
 under the empty id; items with one id are one item; equal windows of several items hit all of them; an empty
@@ -15,17 +17,19 @@ benchmark leaves all documents clean. Repeated documents are judged alike. Other
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.llm.base import annotated
+from lotwise.llm.base import annotated, stored
 from lotwise.llm.words import Hasher, Texts, alphanumeric, texts_of, words_of
 
 ITEM_BLOCK_BYTES = 1 << 21
+BLOCKS_A_SCAN = 8
 _LANE = 256
 _NEW = "n_words long, hit_spans array<struct<start: int, end: int>>, hit_items array<string>"
 
@@ -38,14 +42,20 @@ class _Length:
         self.block = min(2, self.length)
         self.words = words + 1
         self.bits = max(12, int(count * self.length).bit_length() + 1)
-        self.shift = np.full(1 << self.bits, self.length - self.block + 1, np.int32)
+        self.shift = np.full(1 << self.bits, self.length - self.block + 1, np.min_scalar_type(-self.length - 1))
         for j in range(self.length - 1, self.block - 2, -1):  # the blocks that end at word j
             slots = self.slots(patterns[:, j - self.block + 1:j + 1])
             self.shift[slots] = np.minimum(self.shift[slots], self.length - 1 - j)
         last = self.slots(patterns[:, -self.block:])
         self.order = np.argsort(last, kind="stable")
         self.patterns = patterns
-        self.bucket = np.searchsorted(last[self.order], np.arange((1 << self.bits) + 1))
+        self.buckets = last[self.order]     # a bucket is a run of equal numbers
+
+    @classmethod
+    def of(cls, state: dict) -> _Length:
+        table = cls.__new__(cls)
+        table.__dict__.update(state)
+        return table
 
     def slots(self, block: np.ndarray) -> np.ndarray:
         key = block[:, -1].astype(np.uint64)
@@ -66,7 +76,8 @@ class _Length:
             at, ends = at[going], ends[going]
         at = np.concatenate(found) if found else np.zeros(0, np.int64)
         slots = self.slots(ids[at[:, None] + np.arange(1 - self.block, 1)])
-        first, sizes = self.bucket[slots], self.bucket[slots + 1] - self.bucket[slots]
+        first = np.searchsorted(self.buckets, slots)
+        sizes = np.searchsorted(self.buckets, slots, "right") - first
         within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         pattern = self.order[np.repeat(first, sizes) + within]
         at = np.repeat(at, sizes)
@@ -106,6 +117,17 @@ class ItemBlock:
             sets = [sorted(x) for x in windows.values()]
             self.owners.append((np.cumsum([0, *map(len, sets)]), np.array([i for x in sets for i in x], np.int64)))
 
+    def packed(self) -> bytes:
+        """Plain arrays only, so that a worker needs nothing else to read them."""
+        return pickle.dumps({**self.__dict__, "lengths": [t.__dict__ for t in self.lengths]}, 5)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> ItemBlock:
+        block = cls.__new__(cls)
+        block.__dict__.update(pickle.loads(data))
+        block.lengths = [_Length.of(t) for t in block.lengths]
+        return block
+
     def number(self, hashes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(hashes), np.int32)
         maybe = np.flatnonzero(self.seen[hashes >> np.uint64(48)])
@@ -165,10 +187,13 @@ def _spans(covered: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(runs.bounds.astype(np.int32)), body)
 
 
-def _annotator(blocks: list):
+def _annotator(held):
     fold, flags = alphanumeric()
+    blocks: list[ItemBlock] = []
 
     def compute(column: pa.Array) -> list[pa.Array]:
+        if not blocks:
+            blocks.extend(ItemBlock.unpacked(data) for data in held.value)
         counts, spans, items = [], [], []
         for texts in texts_of(column):
             folded = fold[texts.data]
@@ -177,10 +202,10 @@ def _annotator(blocks: list):
             covered = np.zeros(len(hashes), bool)
             found: list[set[str]] = [set() for _ in range(texts.rows)]
             for block in blocks:
-                got, pairs = _search(block.value, folded, words, hashes, texts.rows)
+                got, pairs = _search(block, folded, words, hashes, texts.rows)
                 covered |= got
                 for row, item in pairs.tolist():
-                    found[row].add(block.value.item_ids[item])
+                    found[row].add(block.item_ids[item])
             counts.append(np.diff(words.bounds))
             spans.append(_spans(covered, words.bounds))
             items += [sorted(x) for x in found]
@@ -188,26 +213,49 @@ def _annotator(blocks: list):
     return compute
 
 
-def _blocks(items: DataFrame, window: int) -> Iterator[ItemBlock]:
-    """Search tables of the items, a bounded number of bytes at a time; items stream through the driver."""
-    held, size = [], 0
-    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.col("text").cast("string")).where("text is not null")
-    for item, text in rows.toLocalIterator():
-        held.append((item, text))
-        size += len(text.encode())
-        if size >= ITEM_BLOCK_BYTES:
-            yield ItemBlock(held, window)
-            held, size = [], 0
-    if held:
-        yield ItemBlock(held, window)
+def item_tables(items: DataFrame, window: int) -> tuple[DataFrame, int]:
+    """(block, table) rows with the packed search tables of the items, and the number of blocks."""
+    rows = (items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+            .where("text is not null").distinct())
+    count = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // ITEM_BLOCK_BYTES + 1
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        block = ItemBlock(list(zip(group["item"], group["text"], strict=True)), window)
+        made = [(int(group["block"].iloc[0]), block.packed())] if block.lengths else []
+        return pd.DataFrame(made, columns=["block", "table"])
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count)))
+    return dealt.groupBy("block").applyInPandas(build, "block long, table binary"), count
+
+
+def _union(a: Column, b: Column) -> Column:
+    """Runs that cover what the runs of either list cover."""
+    def add(runs: Column, s: Column) -> Column:
+        last = F.try_element_at(runs, F.lit(-1))
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return (F.when(last["end"] >= s["start"], F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(joined)))
+                .otherwise(F.concat(runs, F.array(s))))
+    return F.aggregate(F.array_sort(F.concat(a, b)), F.slice(a, 1, 0), add)
 
 
 def contamination(docs: DataFrame, items: DataFrame, keep: list[str], window: int = 10) -> DataFrame:
     """Columns ``keep`` of ``docs`` with n_words, hit_spans (runs of hit words), hit_items (sorted ids),
     n_hit, n_items and contaminated."""
     sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(block) for block in _blocks(items, window) if block.lengths]
-    out = annotated(docs, keep, _annotator(blocks), _NEW)
+    tables, count = item_tables(items, window)
+    tables = stored(tables, "item-tables")
+    spans, found = (f"_{name}{'_' * max(map(len, docs.columns))}" for name in ("spans", "items"))  # longer than any column's name
+    out, carried = docs, list(dict.fromkeys([*keep, "text"]))
+    for first in range(0, count, BLOCKS_A_SCAN):
+        held = sc.broadcast([bytes(r["table"]) for r in tables.where(F.col("block").between(first, first + BLOCKS_A_SCAN - 1)).collect()])
+        if not first:
+            out = annotated(out, keep if count <= BLOCKS_A_SCAN else carried, _annotator(held), _NEW)
+            continue
+        before = stored(out.withColumnsRenamed({"hit_spans": spans, "hit_items": found}), "searched")
+        out = annotated(before, [*carried, spans, found], _annotator(held), _NEW).withColumns({
+            "hit_spans": _union(F.col(spans), F.col("hit_spans")),
+            "hit_items": F.array_sort(F.array_union(found, "hit_items"))})
+    new = ["n_words", "hit_spans", "hit_items"]
+    out = out.select(*(f"`{k}`" for k in keep if k not in new), *new)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return (out.withColumn("n_hit", hit).withColumn("n_items", F.size("hit_items").cast("long"))
             .withColumn("contaminated", F.col("n_hit") > 0))

@@ -123,9 +123,10 @@ def _hits(texts, items):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 21, 200])
-def test_decontamination_equals_brute_force(spark, monkeypatch, block_bytes):
+@pytest.mark.parametrize(("block_bytes", "scans"), [(1 << 21, 8), (200, 100), (600, 2)])   # one block; one scan of many; several scans
+def test_decontamination_equals_brute_force(spark, monkeypatch, block_bytes, scans):
     monkeypatch.setattr(decontamination, "ITEM_BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontamination, "BLOCKS_A_SCAN", scans)
     draw = random.Random(3)
     words = ["a", "the", "of", "Übung", "x9", "THE", "né"]
     say = lambda n: "".join(draw.choice(words) + draw.choice([" ", ", ", "\n", "-"]) for _ in range(n))
@@ -136,6 +137,8 @@ def test_decontamination_equals_brute_force(spark, monkeypatch, block_bytes):
     found = decontamination.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), ["doc_id", "extra", "n_words"])
     got = {r.doc_id: (r.n_words, r.n_hit, r.hit_items) for r in found.collect()}
     assert [got[k] for k in range(len(texts))] == _hits(texts, items)
+    for spans in (r.hit_spans for r in found.collect()):
+        assert all(a.end < b.start for a, b in zip(spans, spans[1:]))
     none = decontamination.contamination(docs, spark.createDataFrame([], "item_id long, text string"), ["doc_id"])
     assert none.where("contaminated").count() == 0 and none.count() == len(texts)
     assert decontamination.contamination(docs.where("false"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"]).count() == 0
