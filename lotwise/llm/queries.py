@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import oracle
 from lotwise.llm.base import held_out, read, scratch_path
-from lotwise.llm.chat import chat_digests, read_chats, write_chats
+from lotwise.llm.chat import chat_digests, read_chats, read_examples, write_chats
 from lotwise.llm.decontamination import contamination
 from lotwise.llm.exact import exact_duplicates
 from lotwise.llm.lines import without_repeated_lines
@@ -43,7 +43,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
     folder = scratch_path(spark, "chats")
     write_chats(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra), folder)
-    return chat_digests(read_chats(spark, folder))
+    return chat_digests(read_chats(spark, folder), read_examples(spark, folder))
 
 
 def digest(items: Column) -> Column:

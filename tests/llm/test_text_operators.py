@@ -70,11 +70,13 @@ def test_chats_round_trip(spark):
     made[None] = [("user", "a"), ("assistant", "b")]
     folder = scratch_path(spark, "chats")
     chat.write_chats(_turns(spark, made).selectExpr("*", "1 as part", "'x' as sequence"), folder)
-    pieces = chat.read_chats(spark, folder)
-    got = {r.conv_id: r for r in chat.chat_digests(pieces).collect()}
+    pieces, examples = chat.read_chats(spark, folder), chat.read_examples(spark, folder)
+    got = {r.conv_id: r for r in chat.chat_digests(pieces, examples).collect()}
     assert set(got) == set(made)
+    cut = pieces.groupBy("conv_id").agg(F.countDistinct("part").alias("n")).where("n > 1")
+    assert cut.where("conv_id = 100").count() == 1
     full = {}
-    for r in chat.expanded(pieces.where("conv_id is null or conv_id <> 100")).collect():
+    for r in chat.expanded(pieces.where("conv_id is null or conv_id <> 100"), examples).collect():
         full.setdefault(r.conv_id, []).append((r.example, r.context, r.reply))
     for conv, turns in made.items():
         turns = [(role or "", text or "") for role, text in turns]
@@ -84,6 +86,11 @@ def test_chats_round_trip(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         assert (r.loss_chars, r.loss_sha256) == (len("".join(replies)), hashlib.sha256("".join(replies).encode()).hexdigest())
         assert r.n_examples == len(replies)
+        own = F.col("conv_id").eqNullSafe(F.lit(conv))
+        if conv in (100, 101, None):     # cut by task borders, nulls, no id
+            lengths = [len(chat.formatted(*t)[0]) for t in turns]
+            assert [tuple(e) for e in examples.where(own).orderBy("example").select("example", "context_chars").collect()] == [
+                (e, sum(lengths[:k]) + len("<s>")) for e, k in enumerate(k for k, (role, _) in enumerate(turns) if role == "assistant")]
         assert r.formatted_chars == sum(len(chat.formatted(a, b)[0]) for a, b in turns)
         if conv != 100 and replies:
             places = [k for k, (role, _) in enumerate(turns) if role == "assistant"]
@@ -96,7 +103,19 @@ def test_repeated_turns_and_no_turns(spark):
     for table, n in ((rows, [3]), (rows.where("false"), [])):
         folder = scratch_path(spark, "chats")
         chat.write_chats(table, folder)
-        assert [r.n_turns for r in chat.chat_digests(chat.read_chats(spark, folder)).collect()] == n
+        assert [r.n_turns for r in chat.chat_digests(chat.read_chats(spark, folder), chat.read_examples(spark, folder)).collect()] == n
+
+
+def test_pieces_cut_by_size(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PIECE_CHARS", 50)
+    turns = [("user", "x" * 40)] * 5 + [("assistant", "y" * 200)] + [("user", "z")] * 30 + [("assistant", "w")]
+    folder = scratch_path(spark, "chats")
+    chat.write_chats(_turns(spark, {1: turns}), folder)
+    pieces, examples = chat.read_chats(spark, folder), chat.read_examples(spark, folder)
+    assert pieces.count() > 6
+    texts = [chat.formatted(*t)[0] for t in turns]
+    got = [(r.context, r.reply) for r in chat.expanded(pieces, examples).orderBy("example").collect()]
+    assert got == [("".join(texts[:k]) + "<s>", turns[k][1]) for k in (5, 36)]
 
 
 # Decontamination
