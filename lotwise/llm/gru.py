@@ -78,97 +78,116 @@ def lanes(lengths: np.ndarray, most: int = LANES) -> list[list[int]]:
     return out
 
 
-def _logits(held: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Logits of each row of ``held`` (states and a one), moved so that their exponentials neither overflow nor vanish.
+def _raised(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(matrices whose last row is the bias, whether the largest logit of a row has to be sought) for each of several layers.
 
-    States lie between -1 and 1, which bounds all logits at once; the largest of each row is only sought if that bound is wide.
+    Biases are moved so that exponentials of logits neither overflow nor vanish: states lie between -1 and 1, which bounds all
+    logits at once; the largest of each row is only sought if that bound is wide.
     """
-    reach = np.abs(weights).sum(0).max()
-    x = held @ np.concatenate([weights, (bias - (bias.max() + reach))[None, :]])
-    if reach > 30:
-        x -= x.max(1, keepdims=True)
-    return x
+    reach = np.abs(weights).sum(1).max(1)
+    moved = bias - (bias.max(1) + reach)[:, None]
+    return np.concatenate([weights, moved[:, None, :]], 1), reach > 30
 
 
-def _softmax(x: np.ndarray, chosen: np.ndarray, back: bool) -> np.ndarray:
-    """Log-probability of the chosen place of each row; on request ``x`` becomes the gradient of their sum."""
-    each = np.arange(len(x))
-    out = x[each, chosen]
+def _softmax(held: np.ndarray, layer: np.ndarray, wide: bool, chosen: np.ndarray, back: bool):
+    """Log-probability of the chosen place of each row of ``held`` (states and a one); on request the gradients of their sum
+    by ``layer`` and by the states."""
+    x = held @ layer
+    if wide:
+        x -= x.max(1, keepdims=True)
+    flat, place = x.reshape(-1), np.arange(0, x.size, x.shape[1]) + chosen
+    out = flat.take(place)
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)
-    if back:
-        x *= (-1 / total)[:, None]
-        x[each, chosen] += 1
-    return out - np.log(total)
+    if not back:
+        return out - np.log(total), None, None
+    # The gradient by a row's logits is its exponentials, less the total at the chosen one, over the total with a minus;
+    # the division is left to the few columns beside the logits.
+    flat[place] -= total
+    each = (-1 / total)[:, None]
+    return out - np.log(total), (held * each).T @ x, (x @ layer[:-1].T) * each
 
 
 def _forward(w, inputs, fresh, state):
-    """States after each step of a window; what the way back needs."""
-    steps = len(inputs)
+    """States after each step of a window; what the way back needs, with the lanes in the last axis."""
+    steps, state = len(inputs), np.ascontiguousarray(state.T)
     kept = []
     states = np.empty((steps, *state.shape), _F)
-    drive = w["input"][inputs]
+    drive = np.ascontiguousarray(w["input"].take(inputs, 0).transpose(0, 2, 1))
+    turn = np.ascontiguousarray(w["state"].T)
     for t in range(steps):
-        state = state * fresh[t][:, None]
-        pull = state @ w["state"]
-        gates = 1 / (1 + np.exp(-(drive[t, :, :2 * STATE] + pull[:, :2 * STATE])))
-        z, r = gates[:, :STATE], gates[:, STATE:]
-        new = np.tanh(drive[t, :, 2 * STATE:] + r * pull[:, 2 * STATE:])
+        state = state * fresh[t]
+        pull = turn @ state
+        gates = 1 / (1 + np.exp(-(drive[t, :2 * STATE] + pull[:2 * STATE])))
+        z, r = gates[:STATE], gates[STATE:]
+        new = np.tanh(drive[t, 2 * STATE:] + r * pull[2 * STATE:])
         kept.append((state, pull, z, r, new))
         state = new + z * (state - new)
         states[t] = state
-    return states, kept
+    return np.ascontiguousarray(states.transpose(0, 2, 1)), kept
+
+
+def _by_number(numbers: np.ndarray) -> np.ndarray:
+    """Order that brings equal numbers together; sixteen bits hold them all and are sorted by radix."""
+    return np.argsort(numbers.astype(np.uint16), kind="stable")
 
 
 def _outputs(w, states, targets, back: bool):
     """Log-probability of each target number; on request the gradients of their sum."""
-    group = targets // MEMBERS
-    order = np.argsort(group, kind="stable")
-    group, member = group[order], (targets % MEMBERS)[order]
-    held = np.concatenate([states[order], np.ones((len(states), 1), states.dtype)], 1)   # the one meets the bias
-    d = _logits(held, w["to_class"], w["class_bias"])
-    logs = _softmax(d, group, back).astype(np.float64)
+    order = _by_number(targets // MEMBERS)
+    group, member = targets[order] // MEMBERS, targets[order] % MEMBERS
+    held = np.concatenate([states.take(order, 0), np.ones((len(states), 1), states.dtype)], 1)   # the one meets the bias
+    layer, wide = _raised(w["to_class"][None], w["class_bias"][None])
+    logs, both, pulls = _softmax(held, layer[0], wide[0], group, back)
+    logs = logs.astype(np.float64)
     grads, pull = {}, None
     if back:
-        both = held.T @ d
         grads = {"to_class": both[:-1], "class_bias": both[-1], "to_word": np.zeros_like(w["to_word"]), "word_bias": np.zeros_like(w["word_bias"])}
-        pulls = d @ w["to_class"].T
-    ends = np.searchsorted(group, np.arange(len(w["to_word"]) + 1))
+    layers, wide = _raised(w["to_word"], w["word_bias"])
+    ends = np.searchsorted(group, np.arange(len(layers) + 1))
     for c in np.flatnonzero(np.diff(ends)).tolist():
         mine = slice(ends[c], ends[c + 1])
-        d = _logits(held[mine], w["to_word"][c], w["word_bias"][c])
-        logs[mine] += _softmax(d, member[mine], back)
+        more, both, pulled = _softmax(held[mine], layers[c], wide[c], member[mine], back)
+        logs[mine] += more
         if back:
-            both = held[mine].T @ d
             grads["to_word"][c], grads["word_bias"][c] = both[:-1], both[-1]
-            pulls[mine] += d @ w["to_word"][c].T
+            pulls[mine] += pulled
     out = np.empty_like(logs)
     out[order] = logs
     if back:
-        pull = np.empty_like(pulls)
-        pull[order] = pulls
+        back_again = np.empty_like(order)
+        back_again[order] = np.arange(len(order))
+        pull = pulls.take(back_again, 0)
     return out, grads, pull
 
 
 def _backward(w, inputs, fresh, kept, pull):
     """Gradients of the recurrent part from those of the window's states; what lies before the window is fixed."""
-    grads = {"input": np.zeros_like(w["input"]), "state": np.zeros_like(w["state"])}
-    drives = np.empty((*inputs.shape, 3 * STATE), _F)
+    grads = {"input": np.zeros_like(w["input"])}
+    steps, count = inputs.shape
+    pull = np.ascontiguousarray(pull.transpose(0, 2, 1))
+    drives = np.empty((steps, 3 * STATE, count), _F)
+    through = np.empty((3 * STATE, steps, count), _F)
     carried = np.zeros_like(pull[0])
-    for t in range(len(inputs) - 1, -1, -1):
+    for t in range(steps - 1, -1, -1):
         state, pulled, z, r, new = kept[t]
         d = pull[t] + carried
-        dn = d * (1 - z) * (1 - new * new)
-        dz = d * (state - new) * z * (1 - z)
-        dr = dn * pulled[:, 2 * STATE:] * r * (1 - r)
-        drives[t, :, :STATE], drives[t, :, STATE:2 * STATE], drives[t, :, 2 * STATE:] = dz, dr, dn
-        through = np.concatenate([dz, dr, dn * r], 1)
-        grads["state"] += state.T @ through
-        carried = (d * z + through @ w["state"].T) * fresh[t][:, None]
-    order = np.argsort(inputs.ravel(), kind="stable")
+        rest = d * (1 - z)
+        dn = rest * (1 - new * new)
+        dz = rest * (state - new) * z
+        dnr = dn * r
+        dr = dnr * pulled[2 * STATE:] * (1 - r)
+        drives[t, :STATE], drives[t, STATE:2 * STATE], drives[t, 2 * STATE:] = dz, dr, dn
+        back = np.concatenate([dz, dr, dnr])
+        through[:, t] = back
+        carried = (d * z + w["state"] @ back) * fresh[t]
+    before = np.concatenate([k[0] for k in kept], 1)
+    grads["state"] = before @ through.reshape(3 * STATE, -1).T
+    order = _by_number(inputs.ravel())
     numbers = inputs.ravel()[order]
     begin = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1]))
-    grads["input"][numbers[begin]] = np.add.reduceat(drives.reshape(-1, 3 * STATE)[order], begin, axis=0)
+    rows = np.ascontiguousarray(drives.transpose(0, 2, 1)).reshape(-1, 3 * STATE)
+    grads["input"][numbers[begin]] = np.add.reduceat(rows.take(order, 0), begin, axis=0)
     return grads
 
 
@@ -215,6 +234,7 @@ class Trainer:
         self.rate, self.step, self.tokens = rate, 0, 0
         self._m = {k: np.zeros_like(v) for k, v in weights.items()}
         self._v = {k: np.zeros_like(v) for k, v in weights.items()}
+        self._spare = {k: np.empty_like(v) for k, v in weights.items()}
 
     def learn(self, docs: list[np.ndarray]) -> None:
         state = None
@@ -233,8 +253,18 @@ class Trainer:
             self.step += 1
             self.tokens += n
             for k, g in grads.items():
-                g = g / n
-                m, v = self._m[k], self._v[k]
-                m += 0.1 * (g - m)
-                v += 0.005 * (g * g - v)
-                self.w[k] += self.rate * (m / (1 - 0.9 ** self.step)) / (np.sqrt(v / (1 - 0.995 ** self.step)) + 1e-6)
+                m, v, step = self._m[k], self._v[k], self._spare[k]
+                g /= n
+                np.subtract(g, m, out=step)
+                step *= 0.1
+                m += step
+                np.multiply(g, g, out=g)
+                g -= v
+                g *= 0.005
+                v += g
+                np.divide(v, 1 - 0.995 ** self.step, out=g)
+                np.sqrt(g, out=g)
+                g += 1e-6
+                np.divide(m, g, out=g)
+                g *= self.rate / (1 - 0.9 ** self.step)
+                self.w[k] += g
